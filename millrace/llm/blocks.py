@@ -4,7 +4,8 @@ A paragraph is the text between two tags that are not inline, entities decoded,
 each run of white space one space, trimmed and not empty. Comments vanish; head,
 script, style, noscript and template hold no paragraph. Sloppy markup is taken as
 browsers take it: p, li, td, th, tr, dt, dd and option close at the next of their kind,
-an end tag closes up to its start, one without a start is ignored.
+an end tag closes up to its start, one without a start is ignored. Elements with
+names of their own (with a hyphen) count as sections: an open p ends before them.
 """
 
 from __future__ import annotations
@@ -93,12 +94,13 @@ def parse(source: str | None) -> Page:
                     del stack[k:]
                     break
             continue
-        if tag in _CLOSES or (tag in _BLOCK and stack and stack[-1][0] == "p"):
-            shut = _CLOSES.get(tag, set()) | ({"p"} if tag in _BLOCK else set())
+        block = tag in _BLOCK or "-" in tag
+        if tag in _CLOSES or (block and stack and stack[-1][0] == "p"):
+            shut = _CLOSES.get(tag, set()) | ({"p"} if block else set())
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in shut:
                     del stack[k:]
-                elif stack[k][0] in _SCOPE and not (tag == "tr" and stack[k][0] == "td"):
+                elif (stack[k][0] in _SCOPE or "-" in stack[k][0]) and not (tag == "tr" and stack[k][0] == "td"):
                     break
         if tag in VOID or rest.endswith("/"):
             continue

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_INVISIBLE = dict.fromkeys([0xAD, 0x34F, 0x61C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF])
+INVISIBLE = dict.fromkeys([0xAD, 0x34F, 0x61C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF])
 # fixed values: letters that don't decompose into a base letter and an accent
 _FOLD = str.maketrans({"ł": "l", "Ł": "l", "ø": "o", "Ø": "o", "đ": "d", "Đ": "d", "ß": "ss", "æ": "ae", "Æ": "ae", "œ": "oe", "Œ": "oe", "ı": "i", "ħ": "h"})
 _INLINE = re.compile(r"</?(?:a|abbr|b|code|em|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>", re.I)
@@ -39,7 +39,7 @@ def words(text: str | None) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_INVISIBLE))
+        text = unicodedata.normalize("NFKD", text.translate(INVISIBLE))
         text = "".join(c for c in text if not unicodedata.combining(c)).translate(_FOLD)
     return _WORD.findall(_MARK.sub("", text).lower())
 

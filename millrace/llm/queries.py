@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contamination, encoding
+from . import contamination, encoding, language, mainbody
 
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
 #: word pattern of the byte-level vocabularies (fixed value, published with them)
 BYTE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """The paragraphs of every page's main body."""
+    pages = table(spark, d, "raw_page")
+    return mainbody.main_blocks(pages, mainbody.train(pages)).select("page_id", "text_md5").distinct()
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """The ids of every document; null and empty texts have an empty list."""
     return encoding.encode(table(spark, d, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"), BYTE_PATTERN)
@@ -31,5 +37,17 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
     return contamination.without_leaks(docs, contamination.leaks(docs, table(spark, d, "eval_item"))).select("doc_id", "source", "n_chars")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_found, p9_kept)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """The segments of documents whose label is missing or wrong or that mix languages."""
+    docs = table(spark, d, "documents")
+    return language.relabelled(language.segments(docs, language.train(docs))).select("doc_id", "seg_no", "seg_lang")
+
+
+def p10_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The language of every document that has sentences, with a confidence."""
+    docs = table(spark, d, "documents")
+    return language.of_documents(language.segments(docs, language.train(docs))).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
 SQL: dict[str, str] = {}
