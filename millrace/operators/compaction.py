@@ -43,7 +43,7 @@ def listing_records(payload: str | None) -> list[str]:
     """
     if not payload:
         return []
-    text = payload.replace("﻿", "")
+    text = payload.replace("\ufeff", "")
     out, at, end = [], 0, len(text)
     while at < end:
         if text[at] in " \t\r\n,[]":
@@ -66,7 +66,7 @@ def page_text(payload: str | None) -> str | None:
     """A complete html page with each run of white space as one space, or None."""
     if not payload:
         return None
-    text = _SPACE.sub(" ", payload.replace("﻿", "")).strip()
+    text = _SPACE.sub(" ", payload.replace("\ufeff", "")).strip()
     return text if text.endswith("</html>") else None
 
 

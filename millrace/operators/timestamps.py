@@ -73,7 +73,7 @@ def readings(df: DataFrame, value: str, zone: str, order: str) -> DataFrame:
 
     Null, empty and unreadable values get null readings and form 'none'. A number
     of 10, 13, 16 or 19 digits counts as seconds to nanoseconds since 1970."""
-    text = F.trim(F.regexp_replace(F.col(value), r"(?U)[\s  ﻿​]+", " "))
+    text = F.trim(F.regexp_replace(F.col(value), r"(?U)[\s\x{00a0}\x{202f}\ufeff\x{200b}]+", " "))
     df = df.withColumn("_t", text)
     family = F.when(F.col("_t").rlike(r"^\d{10}$|^\d{13}$|^\d{16}$|^\d{19}$"), "epoch")
     for name, (pattern, _) in FAMILIES.items():
