@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import contamination, encoding, language, mainbody
+from . import canonical, contamination, encoding, language, mainbody
 
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
 #: word pattern of the byte-level vocabularies (fixed value, published with them)
@@ -21,6 +21,17 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return mainbody.main_blocks(pages, mainbody.train(pages)).select("page_id", "text_md5").distinct()
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The entry meant by every freely typed value, -1 for none."""
+    return canonical.map_values(table(spark, d, "offer"), table(spark, d, "canon_value")).select("offer_id", "field_name", "pos", "canon_id")
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The report of values that no entry explains, with their number."""
+    rows = canonical.map_values(table(spark, d, "offer"), table(spark, d, "canon_value")).where("canon_id = -1")
+    return rows.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """The ids of every document; null and empty texts have an empty list."""
     return encoding.encode(table(spark, d, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"), BYTE_PATTERN)
@@ -49,5 +60,5 @@ def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     return language.of_documents(language.segments(docs, language.train(docs))).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_unmatched, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
 SQL: dict[str, str] = {}
