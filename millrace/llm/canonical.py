@@ -234,7 +234,11 @@ def map_values(offers: DataFrame, canon: DataFrame, lists: tuple[str, ...] = ("r
     kept = ["offer_id", *lists, *singles]
     rank = F.struct("ingested_at", F.struct(*kept[1:]))
     once = offers.where("offer_id is not null").groupBy("offer_id").agg(F.max(rank).alias("r")).select("offer_id", *[F.col(f"r.col2.{c}").alias(c) for c in kept[1:]])
-    parts = [F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda v, i, f=f: F.struct(F.lit(f).alias("field_name"), i.cast("int").alias("pos"), v.alias("value"))) for f in lists]
+
+    def elements(f: str):
+        return F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda v, i: F.struct(F.lit(f).alias("field_name"), i.cast("int").alias("pos"), v.alias("value")))
+
+    parts = [elements(f) for f in lists]
     parts += [F.array(F.struct(F.lit(f).alias("field_name"), F.lit(0).alias("pos"), F.col(f).alias("value"))) for f in singles]
     rows = once.select("offer_id", F.explode(F.concat(*parts)).alias("v")).select("offer_id", "v.*").where("value is not null")
 
