@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonical, contamination, encoding, language, mainbody
+from . import canonical, contamination, encoding, language, mainbody, names
 
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
 #: word pattern of the byte-level vocabularies (fixed value, published with them)
@@ -32,6 +32,16 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of profiles that mean one employer."""
+    return names.linked_profiles(table(spark, d, "employer_profile"))
+
+
+def p7_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with the spelling its cluster is named by."""
+    return names.name_clusters(table(spark, d, "employer_profile")).select("employer_name", "center")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """The ids of every document; null and empty texts have an empty list."""
     return encoding.encode(table(spark, d, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"), BYTE_PATTERN)
@@ -60,5 +70,5 @@ def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     return language.of_documents(language.segments(docs, language.train(docs))).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_unmatched, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_unmatched, p7_found, p7_clusters, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
 SQL: dict[str, str] = {}
