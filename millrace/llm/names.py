@@ -132,7 +132,7 @@ def _token(a: str, b: str) -> float:
     return 1 - distance(x, y, size) / size if size else 0.0
 
 
-def monge_elkan(a: tuple[str, ...], b: tuple[str, ...], least: float = 0.7) -> float:
+def monge_elkan(a: tuple[str, ...], b: tuple[str, ...], least: float = 0.6) -> float:
     """Mean over the tokens of the longer core of the best similarity in the other; 0 if a
     token of either finds nothing of at least ``least``. Cores that differ in gaps only are
     compared without them, in either order."""
@@ -165,7 +165,7 @@ def firsts_agree(a: str, b: str) -> bool:
     return a == b or (len(a) == 1 or len(b) == 1) and a[0] == b[0]
 
 
-def same_name(a: Name, b: Name, least: float = 0.84) -> bool:
+def same_name(a: Name, b: Name, least: float = 0.79) -> bool:
     return firsts_agree(a.first, b.first) and monge_elkan(a.core, b.core) >= least
 
 
@@ -215,7 +215,7 @@ def candidate_pairs(nodes: DataFrame, rows: int = 3, similarity: float = 0.45, r
     return a.join(b, "band").where("a < b").select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, least: float = 0.84) -> DataFrame:
+def verified(pairs: DataFrame, least: float = 0.79) -> DataFrame:
     """The candidate pairs that Monge-Elkan similarity and given names confirm."""
 
     def run(batches):

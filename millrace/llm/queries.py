@@ -8,13 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonical, contamination, encoding, language, mainbody, names
+from . import canonical, contamination, encoding, language, linkage, mainbody, names
 
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
 #: word pattern of the byte-level vocabularies (fixed value, published with them)
 BYTE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of postings of one vacancy: confident, and no attribute that differs."""
+    pairs = linkage.matches(table(spark, d, "offer"), table(spark, d, "canon_value"))
+    return pairs.where((F.col("confidence") >= 0.5) & ~F.col("pattern").contains("0") & F.col("pattern").endswith("2")).select("offer_a", "offer_b")
+
+
+def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Per pattern of agreement: compared pairs and the posterior."""
+    pairs = linkage.matches(table(spark, d, "offer"), table(spark, d, "canon_value"))
+    return pairs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("confidence"), 6).alias("confidence"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """The paragraphs of every page's main body."""
     pages = table(spark, d, "raw_page")
@@ -70,5 +82,5 @@ def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     return language.of_documents(language.segments(docs, language.train(docs))).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p4_unmatched, p7_found, p7_clusters, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_confidence, p3_found, p4_found, p4_unmatched, p7_found, p7_clusters, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
 SQL: dict[str, str] = {}
