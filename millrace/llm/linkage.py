@@ -188,15 +188,21 @@ def compared(rows: DataFrame) -> DataFrame:
     return both.select("offer_a", "offer_b", F.concat(*[level(c) for c in ATTRIBUTES[:-1]], city).alias("pattern"))
 
 
-def fit(counts: dict[str, int], rounds: int = 200) -> tuple[float, list[dict[str, float]], list[dict[str, float]]]:
+#: expected agreement levels of an attribute among matches
+_MATCH = {"0": 0.002, "1": 0.018, "2": 0.98}
+
+
+def fit(counts: dict[str, int], rounds: int = 200, prior: float = 0.5) -> tuple[float, list[dict[str, float]], list[dict[str, float]]]:
     """EM for the share of matches and, per attribute, the probability of each agreement
-    level among matches and non-matches. Starts from agreement being likelier in matches."""
+    level among matches and non-matches. Starts from agreement being likelier in matches;
+    ``prior`` weighs the expectation that copies of one vacancy seldom differ (``_MATCH``),
+    as a share of the pairs."""
     n = len(ATTRIBUTES)
     m = [{"0": 0.05, "1": 0.05, "2": 0.9} for _ in range(n)]
     u = [{"0": 0.6, "1": 0.1, "2": 0.3} for _ in range(n)]
     p, total = 0.2, sum(counts.values())
     for _ in range(rounds):
-        mass, new_m, new_u = 0.0, [defaultdict(lambda: 1e-3) for _ in range(n)], [defaultdict(lambda: 1e-3) for _ in range(n)]
+        mass, new_m, new_u = 0.0, [{c: prior * total * w for c, w in _MATCH.items()} for _ in range(n)], [defaultdict(lambda: 1e-3) for _ in range(n)]
         for pattern, k in counts.items():
             w = posterior(pattern, p, m, u)
             mass += k * w

@@ -72,7 +72,7 @@ def part_name(text: str | None) -> Name | None:
             first = first or t
         elif t in _LINK or t in _TRADE or (len(t) > 5 and any(s >= 0.8 for _, s in _TRADES.near(t))):
             continue
-        elif not first and len(t) > 4 and _FIRSTS.near(t):
+        elif not first and len(t) > 4 and not raw.endswith(".") and _FIRSTS.near(t):
             first = _GIVEN[_FIRSTS.near(t)[0][0]]
         else:
             core.append(raw if raw.endswith(".") and k < len(rough) else t)
