@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,5 +49,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, once per application, through the
+    shared folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_millrace_shipped", False):
+        return
+    root, buffer = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.writestr(str(Path(root.name) / f.relative_to(root)), f.read_text())
+    target = f"{shared_dir(spark).rstrip('/')}/code/{sc.applicationId}/{root.name}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(buffer.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    sc._millrace_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
