@@ -270,6 +270,6 @@ def linked_profiles(profiles: DataFrame, crowd: int = 500) -> DataFrame:
     member = cut(own.join(name_clusters(profiles), "employer_name").select("employer_id", F.xxhash64("center").alias("c")).distinct())
     size = member.groupBy("c").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     salted = member.join(size, "c").withColumn("parts", F.ceil(F.col("size") / crowd).cast("int"))
-    a = salted.select("c", F.pmod(F.xxhash64("employer_id"), F.col("parts")).alias("salt"), F.col("employer_id").alias("employer_a"))
-    b = salted.select("c", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).cast("bigint").alias("salt"), F.col("employer_id").alias("employer_b"))
+    a = salted.select("c", F.pmod(F.xxhash64("employer_id"), F.col("parts").cast("bigint")).alias("salt"), F.col("employer_id").alias("employer_a"))
+    b = salted.select("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts").cast("bigint") - 1)).alias("salt"), F.col("employer_id").alias("employer_b"))
     return a.join(b, ["c", "salt"]).where("employer_a < employer_b").select("employer_a", "employer_b").distinct()
