@@ -1,7 +1,7 @@
 """All queries of the core."""
 
-from . import cleaning
+from . import cleaning, flow, textual
 
-_PARTS = (cleaning,)
+_PARTS = (cleaning, textual, flow)
 QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
 SQL = {k: v for part in _PARTS for k, v in part.SQL.items()}
