@@ -184,7 +184,7 @@ class Reference:
         """The entry meant by a value, -1 if none."""
         if value in self.known:
             return self.known[value]
-        own = tokens(value)[:200]
+        own = tokens(value)
         found: list[tuple[float, float, int]] = []
         if own:
             joined = "".join(own)

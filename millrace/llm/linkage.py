@@ -67,7 +67,7 @@ class Titles:
         return self.known[title]
 
     def _part(self, title: str) -> dict:
-        rest: list[str | None] = [t for t in tokens(_BRACKET.sub(" ", title))][:80]
+        rest: list[str | None] = [t for t in tokens(_BRACKET.sub(" ", title))]
         out: dict = {}
 
         def take(a: int, b: int) -> None:

@@ -205,7 +205,8 @@ class Field:
 
 def train(pages: DataFrame, sample: int = 500) -> Field:
     """Fits the field on at most ``sample`` pages, those of the smallest hashes."""
-    rows = pages.where("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id")).limit(sample).collect()
+    ids = [r[0] for r in pages.where("html is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id")).limit(sample).collect()]
+    rows = pages.where(F.col("html").isNotNull() & F.col("page_id").isin(ids)).select("page_id", "html").dropDuplicates(["page_id"]).collect() if ids else []
     data = []
     for r in sorted(rows, key=lambda r: r.page_id):
         page = parse(r.html)

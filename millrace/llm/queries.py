@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 from . import canonical, contamination, encoding, language, linkage, mainbody, names
 
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
@@ -29,7 +29,7 @@ def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """The paragraphs of every page's main body."""
-    pages = table(spark, d, "raw_page")
+    pages = spread(table(spark, d, "raw_page").select("page_id", "html"))
     return mainbody.main_blocks(pages, mainbody.train(pages)).select("page_id", "text_md5").distinct()
 
 
@@ -56,12 +56,12 @@ def p7_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """The ids of every document; null and empty texts have an empty list."""
-    return encoding.encode(table(spark, d, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"), BYTE_PATTERN)
+    return encoding.encode(spread(table(spark, d, "documents").select("doc_id", "text")), os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"), BYTE_PATTERN)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents with the items that leaked into them."""
-    return contamination.leaks(table(spark, d, "documents"), table(spark, d, "eval_item")).select("doc_id", "item_id").distinct()
+    return contamination.leaks(spread(table(spark, d, "documents").select("doc_id", "text")), table(spark, d, "eval_item")).select("doc_id", "item_id").distinct()
 
 
 def p9_kept(spark: SparkSession, d: str) -> DataFrame:
@@ -72,13 +72,13 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """The segments of documents whose label is missing or wrong or that mix languages."""
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
     return language.relabelled(language.segments(docs, language.train(docs))).select("doc_id", "seg_no", "seg_lang")
 
 
 def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     """The language of every document that has sentences, with a confidence."""
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
     return language.of_documents(language.segments(docs, language.train(docs))).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
 
 
