@@ -115,7 +115,7 @@ def source_dispatch(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""WITH t AS (SELECT DISTINCT offer_id, ingested_at, employer_name, employer_url, employer_type, role_title, role_seniority, role_focus, role_scope, is_remote, is_hybrid, is_onsite, cities, contract_types, coe_from, b2b_from, req_technology, opt_technology, languages FROM offer)
 SELECT offer_id, ingested_at, round((8 + (NOT regexp_full_match(employer_name, '[ \t\n\x0b\f\r\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*') AND employer_name IS NOT NULL)::INT + (employer_url IS NOT NULL)::INT + (employer_type IS NOT NULL)::INT + (role_title IS NOT NULL)::INT + (role_seniority IS NOT NULL)::INT + (role_focus IS NOT NULL)::INT + (role_scope IS NOT NULL)::INT
- + (is_remote IS NOT NULL)::INT + (is_hybrid IS NOT NULL)::INT + (is_onsite IS NOT NULL)::INT + (coe_from IS NOT NULL)::INT + (b2b_from IS NOT NULL)::INT
+ + (is_remote IS NOT NULL)::INT + (is_hybrid IS NOT NULL)::INT + (is_onsite IS NOT NULL)::INT + (nullif(coe_from, '') IS NOT NULL)::INT + (nullif(b2b_from, '') IS NOT NULL)::INT
  + (len(coalesce(cities, [])) > 0)::INT + (len(coalesce(contract_types, [])) > 0)::INT + (len(coalesce(req_technology, [])) > 0)::INT + (len(coalesce(opt_technology, [])) > 0)::INT + (len(coalesce(languages, [])) > 0)::INT
  + len(list_filter(coalesce(cities, []), lambda x: x IS NOT NULL AND NOT regexp_full_match(x, '[ \t\n\x0b\f\r\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*'))) + len(list_filter(coalesce(contract_types, []), lambda x: x IS NOT NULL)) + len(list_filter(coalesce(req_technology, []), lambda x: x IS NOT NULL AND NOT regexp_full_match(x, '[ \t\n\x0b\f\r\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*'))) + len(list_filter(coalesce(opt_technology, []), lambda x: x IS NOT NULL AND NOT regexp_full_match(x, '[ \t\n\x0b\f\r\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*'))) + len(list_filter(coalesce(languages, []), lambda x: x IS NOT NULL AND NOT regexp_full_match(x, '[ \t\n\x0b\f\r\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*'))))::DOUBLE
  / (47 + len(coalesce(cities, [])) + len(coalesce(contract_types, [])) + len(coalesce(req_technology, [])) + len(coalesce(opt_technology, [])) + len(coalesce(languages, []))), 6) AS quality FROM t""")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import text as X
 from ..functions import variant as V
-from ..session import table
+from ..session import spread, table
 
 #: the same white space class for RE2
 _S = r"[ \t\n\x0b\f\r\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
@@ -140,7 +140,7 @@ def strip_tags(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def html_clean(spark: SparkSession, d: str) -> DataFrame:
     """Cleaned pages and their Markdown, per board, in one pass."""
-    return table(spark, d, "raw_page").where("html is not null").select("page_id", "source", H.read_page(F.col("html"), F.col("source")).alias("p")).select("page_id", "source", F.length("p.clean").alias("clean_chars"), F.length("p.md").alias("md_chars"), "p.n_paragraphs", F.size("p.ld_json").alias("n_ld_json"))
+    return spread(table(spark, d, "raw_page").where("html is not null").select("page_id", "source", "html")).select("page_id", "source", H.read_page(F.col("html"), F.col("source")).alias("p")).select("page_id", "source", F.length("p.clean").alias("clean_chars"), F.length("p.md").alias("md_chars"), "p.n_paragraphs", F.size("p.ld_json").alias("n_ld_json"))
 
 
 @query("""SELECT n_regionkey, n_nationkey::VARCHAR AS key, n_name AS name FROM nation""")

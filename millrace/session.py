@@ -68,6 +68,13 @@ def ship(spark: SparkSession) -> None:
     sc._millrace_shipped = True
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Input of fewer splits than there are cores, dealt out anew: for row-wise Python over
+    a small table. Larger tables come with splits enough and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
