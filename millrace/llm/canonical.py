@@ -189,7 +189,7 @@ class Reference:
         if own:
             joined = "".join(own)
             for w, s in self.whole.near(joined)[:5]:
-                found.append((s + 0.1, 1.0, self.joined[w]))
+                found.append((s + 0.15, 1.0, self.joined[w]))
             near = {t: dict(self.vocabulary.near(t)) for t in own}
             for a, b in zip(own, own[1:]):  # words split or run together
                 for w, s in self.whole.near(a + b)[:2]:

@@ -96,13 +96,13 @@ def _before(rows: np.ndarray, other: np.ndarray) -> np.ndarray:
 def matches(docs: list[tuple[int, list[str]]], items: Items, least: int) -> Iterator[tuple[int, int, int, int, int]]:
     """(doc, item, words matched, place in the doc, place in the item): for each doc and
     item the longest run of at least ``least`` words, the earliest of equals."""
+    if not docs:
+        return
     code = items.code
     data = np.array([c for _, ws in docs for c in [*(code.get(w, 0) for w in ws), 0]], dtype=np.int64)
     sizes = np.array([len(ws) + 1 for _, ws in docs])
     owner = np.repeat(np.arange(len(docs)), sizes)
-    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(docs) else np.zeros(0, dtype=np.int64)
-    if not len(data):
-        return
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     # words until the next break, for every place
     breaks = np.flatnonzero(data == 0)
     run = breaks[np.searchsorted(breaks, np.arange(len(data)))] - np.arange(len(data))
