@@ -96,7 +96,7 @@ def readings(df: DataFrame, value: str, zone: str, order: str) -> DataFrame:
     df = df.withColumns({"_y": year, "_m": F.coalesce(number(1), named), "_d": number(2), "_h": hour, "_i": F.coalesce(number(4), F.lit(0)), "_s": second, "_f": frac})
     tail = F.regexp_replace(F.lower(part(8)), r"[\[\] ]", "")
     sign = F.regexp_extract(tail, r"([+-])(\d{2}):?(\d{2})$", 1)
-    shift = F.when(sign != "", F.expr("1") * F.when(sign == "-", -1).otherwise(1) * (F.expr(r"try_cast(regexp_extract(_z, '([+-])(\\d{2}):?(\\d{2})$', 2) as int)") * 60 + F.expr(r"try_cast(regexp_extract(_z, '([+-])(\\d{2}):?(\\d{2})$', 3) as int)")))
+    shift = F.when(sign != "", F.when(sign == "-", -1).otherwise(1) * (F.expr(r"try_cast(regexp_extract(_z, '([+-])(\\d{2}):?(\\d{2})$', 2) as int)") * 60 + F.expr(r"try_cast(regexp_extract(_z, '([+-])(\\d{2}):?(\\d{2})$', 3) as int)")))
     df = df.withColumn("_z", tail).withColumn("_o", F.coalesce(shift, F.element_at(_lookup(ZONES), tail)))
     known = sorted(z for z in zoneinfo.available_timezones() if "/" in z and not z.startswith(("posix", "right")))
     proper = F.element_at(_lookup({z.lower(): z for z in known}), F.col("_z"))

@@ -10,7 +10,7 @@ not unique. All in built-in expressions; the two rate tables join as small table
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # fixed values: spellings of currencies, as patterns over lower-case text
@@ -44,7 +44,7 @@ def _first(text: Column, table: dict[str, str], whole: bool = False) -> Column:
     return out
 
 
-def _parse(df: DataFrame, kind: str, side: str) -> DataFrame:
+def _parse(df: DataFrame, side: str) -> DataFrame:
     """Adds <side>_n (array of cents as written), <side>_k (scale words), currency, unit and direction."""
     text = F.lower(F.trim(F.regexp_replace(F.col(side), r"[\s\x{00a0}\x{202f}\x{2009}]+", " ")))
     whole = F.regexp_extract_all("_t", F.lit(_NUMBER), F.lit(1))
@@ -52,7 +52,7 @@ def _parse(df: DataFrame, kind: str, side: str) -> DataFrame:
     scale = F.regexp_extract_all("_t", F.lit(_NUMBER), F.lit(3))
     amount = F.transform(
         F.arrays_zip(whole.alias("a"), cents.alias("b")),
-        lambda x: F.expr("0") + F.try_to_number(F.regexp_replace(x["a"], r"\D", ""), F.lit("9" * 15)).cast("bigint") * 100 + F.coalesce(F.try_to_number(F.rpad(F.nullif(x["b"], F.lit("")), 2, "0"), F.lit("99")), F.lit(0)).cast("bigint"),
+        lambda x: F.try_to_number(F.regexp_replace(x["a"], r"\D", ""), F.lit("9" * 15)).cast("bigint") * 100 + F.coalesce(F.try_to_number(F.rpad(F.nullif(x["b"], F.lit("")), 2, "0"), F.lit("99")), F.lit(0)).cast("bigint"),
     )
     rest = F.regexp_replace("_t", _NUMBER, " # ")
     way = F.when(F.col("_t").rlike(r"^(?:up to|do|bis|max\.?|maks\.?|to)\s"), "upper").when(F.col("_t").rlike(r"^(?:from|od|ab|min\.?|at least)\s"), "lower")
@@ -66,14 +66,14 @@ def _parse(df: DataFrame, kind: str, side: str) -> DataFrame:
 
 def resolve_amounts(pay: DataFrame, fx: DataFrame, unit_month: DataFrame, base_currency: str = "PLN", base_unit: str = "month") -> DataFrame:
     """Adds lower, upper (whole base units per month, halves up; null where not given),
-    currency, unit, residual and unique.
+    currency, unit, residual, unique, cents (the larger bound as written) and rate.
 
     ``pay`` has low, high (text), currency_text, unit_text and period_text. Texts go
     before columns, columns before the period. Where only one bound bears a thousands
     word, the other is read with and without it and the smaller log residual wins.
     Null, empty and wordless texts give null bounds; currencies and units that can't be
     told are null, and with them both bounds."""
-    df = _parse(_parse(pay, "", "low"), "", "high")
+    df = _parse(_parse(pay, "low"), "high")
     from_col = lambda c, t: _first(F.lower(F.trim(F.col(c))), t, whole=True)
     cur = F.coalesce("low_cur", "high_cur", from_col("currency_text", CURRENCIES))
     unit = F.coalesce("low_unit", "high_unit", from_col("unit_text", UNITS), from_col("period_text", UNITS))
@@ -103,9 +103,9 @@ def resolve_amounts(pay: DataFrame, fx: DataFrame, unit_month: DataFrame, base_c
     fx = fx.select(F.col("currency").alias("_fc"), (F.col("pln_per_unit") * 10000).cast("bigint").alias("_rate")).dropDuplicates(["_fc"])
     um = unit_month.select(F.col("unit_name").alias("_un"), F.col("month_mult").cast("bigint").alias("_mult"), F.col("month_div").cast("bigint").alias("_div")).dropDuplicates(["_un"])
     df = df.join(fx, df.currency == fx._fc, "left").join(um, df.unit == um._un, "left")
-    num = lambda c: F.col(c) * F.col("_rate") * F.col("_mult")  # noqa: E731  cents x 1e-4 of base x months
+    # cents times 1e-4 of the base currency times months, halves up
     exact = lambda c: F.expr(f"(2 * {c} * _rate * _mult + 1000000 * _div) div (2000000 * _div)")
-    df = df.withColumns({"lower": exact("_a"), "upper": exact("_b")})
+    df = df.withColumns({"lower": exact("_a"), "upper": exact("_b"), "cents": F.coalesce("_b", "_a"), "rate": F.col("_rate")})
     gone = [c for c in df.columns if c.startswith("_") or c.split("_")[0] in ("low", "high") and c not in ("low", "high")]
     return df.drop(*gone)
 
@@ -127,4 +127,22 @@ def salaries(offers: DataFrame, fx: DataFrame, unit_month: DataFrame) -> DataFra
     done = resolve_amounts(one, fx, unit_month)
     digits = lambda c: F.coalesce(F.col(c).rlike(r"^[0-9]+$"), F.lit(True))
     plain = digits("low") & digits("high") & F.coalesce((F.col("currency_text") == "PLN") & (F.col("unit_text") == "month"), F.lit(False))
-    return done.select("offer_id", "contract_kind", F.col("lower").alias("pln_month_from"), F.col("upper").alias("pln_month_to"), "currency", "unit", "residual", "unique", plain.alias("plain"))
+    done = done.withColumn("plain", plain)
+    return done.select("offer_id", "contract_kind", F.col("lower").alias("pln_month_from"), F.col("upper").alias("pln_month_to"), "currency", "unit", "residual", "unique", "plain", "cents", "rate")
+
+
+def guessed_units(pay: DataFrame, unit_month: DataFrame, least_gap: float = 0.7) -> DataFrame:
+    """(offer_id, contract_kind, currency, guess, guess_residual, guess_unique): for salaries
+    of a known currency whose unit nothing tells, the unit that brings them closest to the
+    other salary of the same offer, by log residual; null where there is none to compare.
+    Not unique if the next unit is less than ``least_gap`` worse. Both salaries of an offer
+    are in one partition already, so the window moves nothing."""
+    rows = unit_month.select("unit_name", "month_mult", "month_div").distinct().limit(100).collect()
+    known = F.when(F.col("unit").isNotNull(), F.log(F.coalesce("pln_month_to", "pln_month_from").cast("double")))
+    both = pay.withColumn("other", F.max(known).over(Window.partitionBy("offer_id")))
+    mine = F.log(F.col("cents").cast("double") * F.col("rate") / 1e6)
+    options = [F.struct(F.abs(mine + F.log(F.lit(r.month_mult / r.month_div)) - F.col("other")).alias("residual"), F.lit(r.unit_name).alias("unit")) for r in sorted(rows)]
+    ranked = F.array_sort(F.array(*options)) if options else F.array().cast("array<struct<residual:double,unit:string>>")
+    left = both.where("unit is null and currency is not null and cents > 0").withColumn("_g", F.when(F.col("other").isNotNull(), ranked))
+    first, second = F.get("_g", F.lit(0)), F.get("_g", F.lit(1))
+    return left.select("offer_id", "contract_kind", "currency", first["unit"].alias("guess"), first["residual"].alias("guess_residual"), F.coalesce(second["residual"] - first["residual"] >= least_gap, F.lit(False)).alias("guess_unique"))

@@ -22,6 +22,13 @@ def p2_residuals(spark: SparkSession, d: str) -> DataFrame:
     return pay.groupBy("currency", "unit").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("unique")).alias("n_not_unique"), F.round(F.avg("residual"), 6).alias("mean_residual"))
 
 
+def p2_guessed(spark: SparkSession, d: str) -> DataFrame:
+    """The likeliest unit of salaries that don't tell theirs, by the offer's other salary."""
+    unit_month = table(spark, d, "unit_month")
+    got = units.guessed_units(units.salaries(table(spark, d, "offer"), table(spark, d, "fx_rate"), unit_month), unit_month)
+    return got.select("offer_id", "contract_kind", "currency", "guess", F.round("guess_residual", 4).alias("guess_residual"), "guess_unique")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """One UTC instant per readable published_at and expires_at."""
     rows = timestamps.normalise(table(spark, d, "offer_meta"), table(spark, d, "board"), "meta_id", ["published_at", "expires_at"])
@@ -45,5 +52,5 @@ def p6_records(spark: SparkSession, d: str) -> DataFrame:
     return compaction.distinct_records(table(spark, d, "raw_file")).select("file_id", "rec_no", "key")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_residuals, p5_found, p5_mixture, p6_found, p6_records)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_residuals, p2_guessed, p5_found, p5_mixture, p6_found, p6_records)}
 SQL: dict[str, str] = {}

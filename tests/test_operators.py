@@ -131,6 +131,14 @@ def test_units(spark):
     assert units.resolve_amounts(df.limit(0), fx, um).count() == 0
 
 
+def test_guessed_units(spark):
+    um = spark.createDataFrame([("hour", 168, 1), ("month", 1, 1), ("year", 1, 12)], "unit_name string, month_mult int, month_div int")
+    rows = [(1, "coe", 10000, 12000, "PLN", "month", 1200000, 10000), (1, "b2b", None, None, "PLN", None, 8000, 10000), (2, "coe", None, None, "PLN", None, 8000, 10000), (3, "coe", 1000, 1000, "PLN", "month", 100000, 10000), (3, "b2b", None, None, "PLN", None, 350000, 10000), (4, "b2b", None, None, None, None, 1, None)]
+    pay = spark.createDataFrame(rows, "offer_id bigint, contract_kind string, pln_month_from bigint, pln_month_to bigint, currency string, unit string, cents bigint, rate bigint")
+    got = {r.offer_id: (r.guess, r.guess_unique) for r in units.guessed_units(pay, um).collect()}
+    assert got == {1: ("hour", True), 2: (None, False), 3: ("year", False)}
+
+
 FILES = [
     (1, "s", "j1", "raw.job.json", '{"a": 1, "b": [1.0]}'), (2, "s", "j1", "raw.job.json", '﻿{"b":[1],"a":1}\n'), (3, "s", None, "raw.job.json", '[{"a":1,"b":[1]},\n{"c":2}]'), (4, "s", None, "raw.job.json", '{"c": 2}\n{"d": 3}\n{"e"'), (5, "t", "j1", "raw.job.json", '{"a":1,"b":[1]}'),
     (6, "s", "j1", "raw.job.html", "<html> x\n y</html>\n"), (7, "s", "j1", "raw.job.html", "﻿<html>\tx y</html>"), (8, "s", "j2", "raw.job.html", "<html> x y</html>"), (9, "s", "j2", "raw.job.html", "<html> x"), (10, "s", "j2", "raw.job.json", None), (11, "s", None, None, None), (12, None, None, "raw.job.json", "[]"), (1, "s", "j1", "raw.job.json", '{"a": 1, "b": [1.0]}'),
