@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 from .canonical import Vocabulary, distance, fold
 
 # fixed values: legal forms, over folded text
@@ -129,7 +129,9 @@ def _token(a: str, b: str) -> float:
         if len(short) > 4 and distance(short, long[: len(short)], 1) <= 1:
             return 0.85
     size = max(len(x), len(y))
-    return 1 - distance(x, y, size) / size if size else 0.0
+    most = int(0.4 * size)  # less alike counts as not alike
+    n = distance(x, y, most)
+    return 1 - n / size if size and n <= most else 0.0
 
 
 def monge_elkan(a: tuple[str, ...], b: tuple[str, ...], least: float = 0.6) -> float:
@@ -188,31 +190,30 @@ def _as_name(node: str) -> Name:
     return Name(tuple(core.split(" ")), first)
 
 
-def candidate_pairs(nodes: DataFrame, rows: int = 3, similarity: float = 0.45, recall: float = 0.97) -> DataFrame:
-    """(a, b), a < b: nodes that share a band. The number of bands follows from the
-    collision curve. Nodes of equal core meet in every band; crowded bands are joined by
-    AQE's skew split, no bucket is cut."""
+def candidate_pairs(nodes: DataFrame, rows: int = 5, similarity: float = 0.45, recall: float = 0.97) -> DataFrame:
+    """(a, b), a < b: nodes that share a band and whose given names can agree. The number
+    of bands follows from the collision curve; a variant needs to meet its cluster's center
+    only. Bands and pairs move as numbers, the names join at the end. Nodes of equal core
+    meet in every band; crowded bands are split by AQE, no bucket is cut."""
     bands = bands_for(similarity, rows, recall)
 
     def run(batches):
         for pdf in batches:
-            out_n, out_k = [], []
-            for node in pdf.node:
-                core = _as_name(node).core
-                forms = [grams(core)]
-                if len(core) > 1:
-                    forms.append(grams(("".join(t.rstrip(".") for t in core),)))
-                    forms.append(grams(("".join(t.rstrip(".") for t in reversed(core)),)))
-                for form in forms:
-                    sig = signature(form, rows * bands)
-                    for k in range(bands):
-                        out_n.append(node)
-                        out_k.append(xxhash.xxh64_intdigest(sig[k * rows : (k + 1) * rows].tobytes(), seed=k) - (1 << 63))
-            yield pd.DataFrame({"node": out_n, "band": pd.Series(out_k, dtype="int64")})
-
-    banded = nodes.select("node").mapInPandas(run, "node string, band bigint").distinct()
-    a, b = banded.withColumnRenamed("node", "a"), banded.withColumnRenamed("node", "b")
-    return a.join(b, "band").where("a < b").select("a", "b").distinct()
+            keys = np.empty((len(pdf), bands), dtype=np.int64)
+            for k, node in enumerate(pdf.node):
+                sig = signature(grams(_as_name(node).core), rows * bands).tobytes()
+                size = rows * 8
+                keys[k] = [xxhash.xxh64_intdigest(sig[x * size : (x + 1) * size], seed=x) - (1 << 63) for x in range(bands)]
+            yield pd.DataFrame({"id": np.repeat(pdf.id.to_numpy(), bands), "band": keys.ravel()})
+
+    named = nodes.select(F.xxhash64("node").alias("id"), "node")
+    banded = spread(named).mapInPandas(run, "id bigint, band bigint")
+    a, b = banded.withColumnRenamed("id", "ia"), banded.withColumnRenamed("id", "ib")
+    pairs = a.join(b, "band").where("ia < ib").select("ia", "ib").distinct()
+    full = pairs.join(named.select(F.col("id").alias("ia"), F.col("node").alias("na")), "ia").join(named.select(F.col("id").alias("ib"), F.col("node").alias("nb")), "ib")
+    fa, fb = F.substring_index("na", "|", 1), F.substring_index("nb", "|", 1)
+    agree = (fa == fb) | ((fa != "") & (fb != "") & ((F.length(fa) == 1) | (F.length(fb) == 1)) & (F.substring(fa, 1, 1) == F.substring(fb, 1, 1)))
+    return full.where(agree).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
 
 
 def verified(pairs: DataFrame, least: float = 0.79) -> DataFrame:
