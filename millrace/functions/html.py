@@ -21,6 +21,22 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(.*?)(/?)>$", re.S)
 _ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _HYDRATION = re.compile(r"<!--(?: |\$|/\$)?-->")
 
+# fixed values: what boards put around an offer, by board
+JJI_BANNER, JJI_BANNER_LEVELS = "#1 Job Board for tech industry in Europe", 5
+JJI_ADVERT, JJI_ADVERT_LEVELS = "ADVERTISEMENT: Recommended by Just Join IT", 2
+JJI_PLACES, JJI_PLACES_LEVELS = "/job-offers/all-locations", 2
+JJI_COOKIES = "cookiescript_injected_wrapper"
+JJI_CLASSES = ("mui-", "Mui")
+NFJ_CONTENT = ("common-posting-content-wrapper", "common-apply-box")
+NFJ_CLASSES = ("tw-", "tr-", "mb-", "ng-")
+BDJ_CLASSES = ("cookie-bar", "bg-action", "bg-black")
+BDJ_MENU, BDJ_TAGS, BDJ_HEADING = "main-menu", ("footer", "next-route-announcer"), "Similar offers"
+DROPPED_TAGS = ("script", "noscript", "img", "svg", "style", "iframe")
+KEPT_ATTRIBUTES = ("href", "id", "class", "type")
+JJI_CONSENT = "By applying, I consent to the processing of my personal data"
+JJI_LINES = ("Show menu\n", "Save\n", "Apply\n", "Applied -\n")
+BDJ_LINES = ("Apply\n",)
+
 
 class Node:
     """An element (tag), a text (tag None) or a comment (tag '!')."""
@@ -113,7 +129,7 @@ def _blank_pass(root: Node) -> None:
     for e in root.walk():
         if not e.all_text().strip() and not any(c.tag not in (None, "!") for c in e.children):
             e.drop()
-        e.attrs = {k: v for k, v in e.attrs.items() if k in ("href", "id", "class", "type")}
+        e.attrs = {k: v for k, v in e.attrs.items() if k in KEPT_ATTRIBUTES}
 
 
 def _keep_classes(root: Node, prefixes: tuple[str, ...]) -> None:
@@ -126,31 +142,31 @@ def clean_page(source: str, board: str) -> str:
     """A page without scripts, pictures, blanks and what its board puts around the offer."""
     root = parse(source)
     for e in root.walk():
-        if e.tag in ("script", "noscript", "img", "svg", "style", "iframe"):
+        if e.tag in DROPPED_TAGS:
             e.drop()
     root.children = [c for c in root.children if c.tag != "!"]
     _blank_pass(root)
     if board == "jji":
         for e in root.walk():
             text = e.all_text().strip() if e.tag == "span" else ""
-            up = 5 if text.startswith("#1 Job Board for tech industry in Europe") else 2 if text.startswith("ADVERTISEMENT: Recommended by") else 0
-            if e.tag == "a" and e.attrs.get("href") == "/job-offers/all-locations":
-                up = 2
-            target = e.above(up) if up else e if e.tag == "footer" or e.attrs.get("id") == "cookiescript_injected_wrapper" else None
+            up = JJI_BANNER_LEVELS if text.startswith(JJI_BANNER) else JJI_ADVERT_LEVELS if text.startswith(JJI_ADVERT) else 0
+            if e.tag == "a" and e.attrs.get("href") == JJI_PLACES:
+                up = JJI_PLACES_LEVELS
+            target = e.above(up) if up else e if e.tag == "footer" or e.attrs.get("id") == JJI_COOKIES else None
             if target is not None and target is not root:
                 target.drop()
         _blank_pass(root)
-        _keep_classes(root, ("mui-", "Mui"))
+        _keep_classes(root, JJI_CLASSES)
     elif board == "nfj":
         _blank_pass(root)
-        _keep_classes(root, ("tw-", "tr-", "mb-", "ng-"))
+        _keep_classes(root, NFJ_CLASSES)
         first = lambda tag: next((e.html() for e in root.walk() if e.tag == tag), "")
-        return first("common-posting-content-wrapper") + first("common-apply-box")
+        return "".join(map(first, NFJ_CONTENT))
     elif board == "bdj":
         for e in root.walk():
-            if e.attrs.get("id") == "main-menu" or e.tag in ("footer", "next-route-announcer") or {"cookie-bar", "bg-action", "bg-black"} & set(e.attrs.get("class", "").split()):
+            if e.attrs.get("id") == BDJ_MENU or e.tag in BDJ_TAGS or set(BDJ_CLASSES) & set(e.attrs.get("class", "").split()):
                 e.drop()
-            elif e.tag == "h3" and e.all_text().startswith("Similar offers") and e.parent is not root:
+            elif e.tag == "h3" and e.all_text().startswith(BDJ_HEADING) and e.parent is not root:
                 e.parent.drop()
     return root.html()
 
@@ -221,11 +237,9 @@ def to_markdown(cleaned: str, board: str = "") -> str:
     block(parse(cleaned))
     text = "".join(out).replace("\r\n", "\n")
     if board == "jji":
-        text = "\n".join(x for x in text.split("\n") if not x.lstrip().startswith("By applying, I consent to the processing of my personal data"))
-        for word in ("Show menu\n", "Save\n", "Apply\n", "Applied -\n"):
-            text = text.replace(word, "")
-    elif board == "bdj":
-        text = text.replace("Apply\n", "")
+        text = "\n".join(x for x in text.split("\n") if not x.lstrip().startswith(JJI_CONSENT))
+    for line in JJI_LINES if board == "jji" else BDJ_LINES if board == "bdj" else ():
+        text = text.replace(line, "")
     text = "\n".join(x.strip(" ") for x in text.split("\n"))
     return re.sub(r"(\n[ \t]*\n)(?:[ \t]*\n)+", r"\1", text)
 

@@ -31,7 +31,7 @@ _KINDS = {"VOID": "NULL", "STRING": "STRING", "BOOLEAN": "BOOLEAN", "ARRAY": "AR
 
 def kind(v: Column) -> Column:
     """STRING, BOOLEAN, NUMBER, ARRAY, OBJECT or NULL; SQL null where missing."""
-    known = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    known = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in _KINDS.items())))  # folded to one literal
     return F.element_at(known, F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1))
 
 

@@ -28,12 +28,34 @@ def _amount(entry: Column, path: str) -> Column:
     return X.js_number(V.number(entry, path))
 
 
-def _finish(df: DataFrame, r: V.Reader, values: dict[str, Column]) -> DataFrame:
-    df = df.withColumn("error", r.error())
-    return df.withColumn("job", F.when(F.col("error").isNull(), schema.record(values)))
+Parts = tuple[dict[str, Column], Column]  # values by path, and the first error
+
+
+def _cleaned(df: DataFrame, parts: dict[str | None, Parts]) -> DataFrame:
+    """Two projections for any number of cleaners, so that the plan is analysed twice only."""
+    own = list(parts.items())
+    first = df.select("*", *[e.alias(f"_error_{k}") for k, (_, (_, e)) in enumerate(own)])
+    error, job = F.lit("no transformation for source"), F.lit(None).cast(schema.struct_type())
+    for k, (name, (values, _)) in enumerate(own):
+        mine = F.lit(True) if name is None else F.col("source") == name
+        error = F.when(mine, F.col(f"_error_{k}")).otherwise(error)
+        job = F.when(mine & F.col(f"_error_{k}").isNull(), schema.record(values)).otherwise(job)
+    return first.select(*df.columns, job.alias("job"), error.alias("error"))
 
 
 def clean_jji(df: DataFrame) -> DataFrame:
+    return _cleaned(df, {None: jji_parts()})
+
+
+def clean_nfj(df: DataFrame) -> DataFrame:
+    return _cleaned(df, {None: nfj_parts()})
+
+
+def clean_bdj(df: DataFrame, crossed: bool = True) -> DataFrame:
+    return _cleaned(df, {None: bdj_parts(crossed)})
+
+
+def jji_parts() -> Parts:
     """Salaries come from the first entry of each contract type. Skills of level 1 and 2
     are dropped, as the original drops them; mixed lists give no required skills."""
     r = V.Reader(F.col("v"))
@@ -64,10 +86,10 @@ def clean_jji(df: DataFrame) -> DataFrame:
     high = F.transform(F.filter(skills, lambda s: V.number(s, "level") > 2), lambda s: V.text(s, "name"))
     required = F.when((F.size(skills) > 0) & _kinds(skills, "STRING"), _strings(skills)).when((F.size(skills) > 0) & objects, high)
     values |= {"reqTechnology": X.normalize_string_array(required), "optTechnology": X.normalize_string_array(F.when(asked.isNotNull(), _strings(nice)))}
-    return _finish(df, r, values)
+    return values, r.error()
 
 
-def clean_nfj(df: DataFrame) -> DataFrame:
+def nfj_parts() -> Parts:
     """A salary without a contract type counts for both; several levels are joined (and so
     leave the domain, which validity reports)."""
     v, r = F.col("v"), V.Reader(F.col("v"))
@@ -95,10 +117,10 @@ def clean_nfj(df: DataFrame) -> DataFrame:
             values[f"{name}.{leaf}"] = F.when(own, c)
     tiles = F.filter(V.items(v, "tiles.values"), lambda t: V.text(t, "type") == "requirement")
     values["reqTechnology"] = X.normalize_string_array(F.concat(F.transform(tiles, lambda t: V.text(t, "value")), F.array(V.text(v, "technology"))))
-    return _finish(df, r, values)
+    return values, r.error()
 
 
-def clean_bdj(df: DataFrame, crossed: bool = True) -> DataFrame:
+def bdj_parts(crossed: bool = True) -> Parts:
     """``crossed`` keeps the original's habit of giving the pay of B2B offers as salaryCoE
     and that of employment as salaryB2B."""
     v, r = F.col("v"), V.Reader(F.col("v"))
@@ -123,23 +145,17 @@ def clean_bdj(df: DataFrame, crossed: bool = True) -> DataFrame:
     tags = V.items(v, "technologyTags")
     r.check(~_kinds(tags, "STRING"), '"technologyTags" is not string')
     values["reqTechnology"] = X.normalize_string_array(_strings(tags))
-    return _finish(df, r, values)
+    return values, r.error()
 
 
 #: cleaners by source; a source without one is an error of its rows
-CLEANERS = {"jji": clean_jji, "nfj": clean_nfj, "bdj": clean_bdj}
-
-
-def clean(df: DataFrame, source: str = "source") -> DataFrame:
-    """Dispatches rows to their source's cleaner in one pass over the input; rows of other
-    sources get the error 'no transformation for source'."""
-    out = df
-    jobs, errors = F.lit(None).cast(schema.struct_type()), F.lit("no transformation for source")
-    for name, f in CLEANERS.items():
-        out = f(out).withColumnRenamed("job", f"_job_{name}").withColumnRenamed("error", f"_error_{name}")
-        jobs = F.when(F.col(source) == name, F.col(f"_job_{name}")).otherwise(jobs)
-        errors = F.when(F.col(source) == name, F.col(f"_error_{name}")).otherwise(errors)
-    return out.withColumn("job", jobs).withColumn("error", errors).select(*df.columns, "job", "error")
+CLEANERS = {"jji": jji_parts, "nfj": nfj_parts, "bdj": bdj_parts}
+
+
+def clean(df: DataFrame) -> DataFrame:
+    """Dispatches rows by ``source`` to their cleaner in one pass over the input; rows of
+    other sources get the error 'no transformation for source'."""
+    return _cleaned(df, {name: f() for name, f in CLEANERS.items()})
 
 
 def clean_meta(df: DataFrame, now: Column) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.text import trim_all
 
 ACTIONS = ("advance", "load", "quarantine", "trash", "remove")
-#: text of a page that its own script failed to render (fixed value)
-APP_ERROR = "Application error: a client-side exception has occurred"
+# fixed value: text of a page that its own script failed to render
+APP_ERROR = "Application error: a client-side exception has occurred while loading justjoin.it"
 
 
 def decision(action: Column | str, guard: str, message: Column | str) -> Column:

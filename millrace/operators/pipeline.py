@@ -77,9 +77,10 @@ def run(jobs: DataFrame, now: Column, least_quality: float = 0.4, compat: bool =
         guards.expiration_guard(F.col("meta.expires_at"), now),
         guards.quality_guard(schema.quality(F.col("job")), least_quality),
     )
-    done = out.withColumn("quality", schema.quality(F.col("job"))).withColumn("decision", checked)
-    action = F.when(F.col("decision.action") == "wait", "advance").otherwise(F.col("decision.action"))
-    return done.withColumn("decision", F.struct(action.alias("action"), F.col("decision.guard").alias("guard"), F.col("decision.message").alias("message"))).drop("page", "v", "json", "html")
+    keep = [c for c in out.columns if c not in ("page", "v", "json", "html", "md")]
+    done = out.select(*keep, "md", schema.quality(F.col("job")).alias("quality"), checked.alias("_d"))
+    action = F.when(F.col("_d.action") == "wait", "advance").otherwise(F.col("_d.action"))
+    return done.select(*keep, "md", "quality", F.struct(action.alias("action"), F.col("_d.guard").alias("guard"), F.col("_d.message").alias("message")).alias("decision"))
 
 
 def enrich(rows: DataFrame, ask: Callable[[str], str], key: str = "job_id", md: str = "md") -> DataFrame:

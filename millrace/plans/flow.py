@@ -157,7 +157,7 @@ def _as_record(c):
     return F.struct(*groups)
 
 
-@query("""SELECT DISTINCT page_id, CASE WHEN contains(h, 'Application error: a client-side exception has occurred') OR length(trim(h)) < 100 THEN 'remove' WHEN NOT regexp_matches(h, '(?i)<p[\\s>/]') THEN 'quarantine' ELSE 'advance' END AS action FROM (SELECT page_id, coalesce(html, '') AS h FROM raw_page)""")
+@query("""SELECT DISTINCT page_id, CASE WHEN contains(h, 'Application error: a client-side exception has occurred while loading justjoin.it') OR length(trim(h)) < 100 THEN 'remove' WHEN NOT regexp_matches(h, '(?i)<p[\\s>/]') THEN 'quarantine' ELSE 'advance' END AS action FROM (SELECT page_id, coalesce(html, '') AS h FROM raw_page)""")
 def content_guard(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "raw_page").select("page_id", guards.content_guard(F.col("html"))["action"].alias("action")).distinct()
 

@@ -31,5 +31,5 @@ def health_status(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (stream_pipeline, health_status)}
 SQL = {
-    "stream_pipeline": """SELECT DISTINCT page_id, CASE WHEN contains(h, 'Application error: a client-side exception has occurred') OR length(trim(h)) < 100 THEN 'remove' WHEN NOT regexp_matches(h, '(?i)<p[\\s>/]') THEN 'quarantine' ELSE 'advance' END AS action FROM (SELECT page_id, coalesce(html, '') AS h FROM raw_page)""",
+    "stream_pipeline": """SELECT DISTINCT page_id, CASE WHEN contains(h, 'Application error: a client-side exception has occurred while loading justjoin.it') OR length(trim(h)) < 100 THEN 'remove' WHEN NOT regexp_matches(h, '(?i)<p[\\s>/]') THEN 'quarantine' ELSE 'advance' END AS action FROM (SELECT page_id, coalesce(html, '') AS h FROM raw_page)""",
 }
