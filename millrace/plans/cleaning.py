@@ -53,4 +53,12 @@ def p6_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_residuals, p2_guessed, p5_found, p5_mixture, p6_found, p6_records)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p6_found": r"""WITH f AS (SELECT DISTINCT file_id, source, job_id, artifact, replace(coalesce(payload, ''), chr(65279), '') AS p FROM raw_file WHERE file_id IS NOT NULL),
+l AS (SELECT file_id, source, unnest(CASE WHEN json_valid(p) THEN (CASE WHEN json_type(p) = 'ARRAY' THEN json_extract(p, '$[*]') ELSE [p::JSON] END) ELSE list_transform(list_filter(string_split(p, chr(10)), lambda x: json_valid(x)), lambda x: x::JSON) END) AS j FROM f WHERE artifact = 'raw.job.json'),
+n AS (SELECT row_number() OVER () AS rec, file_id, source, j FROM l WHERE json_type(j) = 'OBJECT'),
+k AS (SELECT rec, any_value(file_id) AS file_id, 'j' || any_value(source) || md5(string_agg(t.fullkey || '=' || CASE WHEN t.type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN t.atom::DOUBLE::VARCHAR ELSE coalesce(t.atom::VARCHAR, t.type) END, chr(10) ORDER BY t.fullkey)) AS key FROM n, json_tree(n.j) t GROUP BY rec),
+h AS (SELECT file_id, 'h' || coalesce(job_id, '') || md5(trim(regexp_replace(p, '\s+', ' ', 'g'))) AS key FROM f WHERE artifact = 'raw.job.html' AND regexp_matches(p, '</html>\s*$')),
+o AS (SELECT key, min(file_id) AS file_id FROM (SELECT file_id, key FROM k UNION ALL SELECT file_id, key FROM h) GROUP BY key)
+SELECT DISTINCT file_id FROM f WHERE file_id NOT IN (SELECT file_id FROM o)""",
+}

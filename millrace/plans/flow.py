@@ -269,7 +269,7 @@ def streaks(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT user_id, event_id, rank FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank FROM events) WHERE rank <= 3""")
 def lru_topk(spark: SparkSession, d: str) -> DataFrame:
     """What a cache of three entries per user still holds."""
-    return state.recent(table(spark, d, "events"), ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3).select("user_id", "event_id", "rank")
+    return state.recent(table(spark, d, "events"), ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3).select("user_id", "event_id", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("""WITH p AS (SELECT (event_id // 100)::BIGINT AS page, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1), s AS (SELECT min(page) FILTER (errors >= 25) AS stop FROM p)

@@ -127,14 +127,14 @@ SELECT DISTINCT page_id, len(s) AS n, array_to_string(list_transform(s, lambda x
 def script_extract(spark: SparkSession, d: str) -> DataFrame:
     """Embedded JSON of pages; what doesn't parse is {}."""
     s = H.scripts(F.col("html"), "application/ld+json")
-    return table(spark, d, "raw_page").where("html is not null").select("page_id", F.size(s).alias("n"), F.array_join(F.transform(s, lambda x: F.when(F.try_parse_json(x).isNotNull(), x).otherwise("{}")), "\n").alias("json")).distinct()
+    return table(spark, d, "raw_page").where("html is not null").select("page_id", F.size(s).cast("bigint").alias("n"), F.array_join(F.transform(s, lambda x: F.when(F.try_parse_json(x).isNotNull(), x).otherwise("{}")), "\n").alias("json")).distinct()
 
 
 @query(r"""SELECT DISTINCT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\n\r\f]+', ' ', 'g'))) AS h,
 len(regexp_extract_all(html, '(?i)<p[\s>/]')) AS n_paragraphs FROM raw_page WHERE html IS NOT NULL""")
 def strip_tags(spark: SparkSession, d: str) -> DataFrame:
     """Plain text of pages (by hash) and their paragraphs."""
-    return table(spark, d, "raw_page").where("html is not null").select("page_id", F.md5(H.strip_tags(F.col("html"))).alias("h"), F.regexp_count("html", F.lit(r"(?i)<p[\s>/]")).alias("n_paragraphs")).distinct()
+    return table(spark, d, "raw_page").where("html is not null").select("page_id", F.md5(H.strip_tags(F.col("html"))).alias("h"), F.regexp_count("html", F.lit(r"(?i)<p[\s>/]")).cast("bigint").alias("n_paragraphs")).distinct()
 
 
 @query()
