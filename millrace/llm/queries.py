@@ -67,7 +67,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def p9_kept(spark: SparkSession, d: str) -> DataFrame:
     """What is left of the corpus once affected documents are removed."""
     docs = table(spark, d, "documents")
-    return contamination.without_leaks(docs, contamination.leaks(docs, table(spark, d, "eval_item"))).select("doc_id", "source", "n_chars")
+    return contamination.without_leaks(docs, contamination.leaks(docs, table(spark, d, "eval_item"))).select("doc_id", "source")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -83,4 +83,11 @@ def p10_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_confidence, p3_found, p4_found, p4_unmatched, p7_found, p7_clusters, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
-SQL: dict[str, str] = {}
+_LEAKS = r"""WITH d AS (SELECT doc_id, list_filter(regexp_extract_all(lower(translate(strip_accents(regexp_replace(regexp_replace(regexp_replace(text, '(?i)</?(a|abbr|b|code|em|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>|[\x{ad}\x{34f}\x{61c}\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{fe00}-\x{fe0f}\x{feff}]', '', 'g'), '</?[a-zA-Z][^<>]*>', ' ', 'g'), '([\pL\pN])[*`~]+([\pL\pN])', '\1\2', 'g')), 'łŁøØđĐ', 'lloodd')), '[\pL\pN]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, list_filter(regexp_extract_all(lower(translate(strip_accents(regexp_replace(regexp_replace(regexp_replace(item_text, '(?i)</?(a|abbr|b|code|em|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>|[\x{ad}\x{34f}\x{61c}\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{fe00}-\x{fe0f}\x{feff}]', '', 'g'), '</?[a-zA-Z][^<>]*>', ' ', 'g'), '([\pL\pN])[*`~]+([\pL\pN])', '\1\2', 'g')), 'łŁøØđĐ', 'lloodd')), '[\pL\pN]+'), lambda x: x <> '') AS w FROM (SELECT DISTINCT item_id, item_text FROM eval_item WHERE item_text IS NOT NULL)),
+dg AS (SELECT DISTINCT doc_id, hash(w[k:k + 11]) AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 12)),
+ig AS (SELECT DISTINCT item_id, hash(w[k:k + 11]) AS g FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 11)) AS k FROM i WHERE len(w) >= 12))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)"""
+SQL: dict[str, str] = {
+    "p9_found": _LEAKS,
+    "p9_kept": f"SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({_LEAKS}))",
+}

@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 from millrace.llm import queries
@@ -17,3 +18,13 @@ def test_query_runs(spark, sf, name):
     assert len(rows) > 0
     if name in COLUMNS and name != "p8_ids":
         assert len(set(map(tuple, rows))) == len(rows)
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, sf, name):
+    con = duckdb.connect()
+    for t in ("documents", "eval_item"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, sf)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.SQL[name]})").fetchall()
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, want))
