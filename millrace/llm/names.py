@@ -209,13 +209,19 @@ def candidate_pairs(nodes: DataFrame, rows: int = 5, similarity: float = 0.45, r
     named = nodes.select(F.xxhash64("node").alias("id"), "node")
     banded = spread(named).mapInPandas(run, "id bigint, band bigint")
     a, b = banded.withColumnRenamed("id", "ia"), banded.withColumnRenamed("id", "ib")
-    pairs = a.join(b, "band").where("ia < ib").select("ia", "ib").distinct()
-    full = pairs.join(named.select(F.col("id").alias("ia"), F.col("node").alias("na")), "ia").join(named.select(F.col("id").alias("ib"), F.col("node").alias("nb")), "ib")
+    pairs = a.join(_merged(b), "band").where("ia < ib").select("ia", "ib").distinct()
+    full = pairs.join(_merged(named.select(F.col("id").alias("ia"), F.col("node").alias("na"))), "ia").join(_merged(named.select(F.col("id").alias("ib"), F.col("node").alias("nb"))), "ib")
     fa, fb = F.substring_index("na", "|", 1), F.substring_index("nb", "|", 1)
     agree = (fa == fb) | ((fa != "") & (fb != "") & ((F.length(fa) == 1) | (F.length(fb) == 1)) & (F.substring(fa, 1, 1) == F.substring(fb, 1, 1)))
     return full.where(agree).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """A side that grows with the data: joined by sorted shuffles, so that no hash table of
+    it is ever built on the driver."""
+    return df.hint("merge")
+
+
 def verified(pairs: DataFrame, least: float = 0.79) -> DataFrame:
     """The candidate pairs that Monge-Elkan similarity and given names confirm."""
 
@@ -234,20 +240,20 @@ def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n", rounds: int = 1
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("links")).withColumnRenamed("a", "node")
     rank = F.struct(F.col(weight).cast("bigint").alias("w"), F.coalesce("links", F.lit(0)).alias("l"), F.xxhash64("node").alias("h"))
-    full = nodes.join(degree, "node", "left").select("node", rank.alias("r"))
-    links = cut(both.join(full.select(F.col("node").alias("a"), F.col("r").alias("ra")), "a").join(full.select(F.col("node").alias("b"), F.col("r").alias("rb")), "b"))
-    done = full.join(links.select(F.col("a").alias("node")).distinct(), "node", "left_anti").select("node", F.col("node").alias("center"))
+    full = nodes.join(_merged(degree), "node", "left").select("node", rank.alias("r"))
+    links = cut(both.join(_merged(full.select(F.col("node").alias("a"), F.col("r").alias("ra"))), "a").join(_merged(full.select(F.col("node").alias("b"), F.col("r").alias("rb"))), "b"))
+    done = full.join(_merged(links.select(F.col("a").alias("node")).distinct()), "node", "left_anti").select("node", F.col("node").alias("center"))
     left = links
     for _ in range(rounds):
         top = left.groupBy("a").agg(F.max("rb").alias("most"), F.first("ra").alias("ra"))
         centers = top.where("ra > most").select(F.col("a").alias("node"))
-        taken = left.join(centers.withColumnRenamed("node", "b"), "b", "left_semi").groupBy("a").agg(F.max_by("b", "rb").alias("center")).select(F.col("a").alias("node"), "center")
+        taken = left.join(_merged(centers.withColumnRenamed("node", "b")), "b", "left_semi").groupBy("a").agg(F.max_by("b", "rb").alias("center")).select(F.col("a").alias("node"), "center")
         now = cut(taken.union(centers.select("node", F.col("node").alias("center"))))
         done = done.union(now)
         gone = now.select("node")
         before = left.select("a").distinct()
-        left = cut(left.join(gone.withColumnRenamed("node", "a"), "a", "left_anti").join(gone.withColumnRenamed("node", "b"), "b", "left_anti"))
-        lonely = before.join(gone.withColumnRenamed("node", "a"), "a", "left_anti").join(left.select("a").distinct(), "a", "left_anti")
+        left = cut(left.join(_merged(gone.withColumnRenamed("node", "a")), "a", "left_anti").join(_merged(gone.withColumnRenamed("node", "b")), "b", "left_anti"))
+        lonely = before.join(_merged(gone.withColumnRenamed("node", "a")), "a", "left_anti").join(_merged(left.select("a").distinct()), "a", "left_anti")
         done = done.union(lonely.select(F.col("a").alias("node"), F.col("a").alias("center")))
         if left.isEmpty():
             return done
@@ -261,16 +267,16 @@ def name_clusters(df: DataFrame, name: str = "employer_name") -> DataFrame:
     spelled = cut(parted(df, name))
     nodes = spelled.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
     edges = verified(candidate_pairs(nodes))
-    return spelled.join(stars(nodes, cut(edges)), "node")
+    return spelled.join(_merged(stars(nodes, cut(edges))), "node")
 
 
 def linked_profiles(profiles: DataFrame, crowd: int = 500) -> DataFrame:
     """(employer_a, employer_b): pairs of profiles of one cluster. A cluster of more than
     ``crowd`` profiles is split by salt, so that its pairs are made in many tasks."""
     own = profiles.where("employer_id is not null").select("employer_id", "employer_name").distinct()
-    member = cut(own.join(name_clusters(profiles), "employer_name").select("employer_id", F.xxhash64("center").alias("c")).distinct())
+    member = cut(own.join(_merged(name_clusters(profiles)), "employer_name").select("employer_id", F.xxhash64("center").alias("c")).distinct())
     size = member.groupBy("c").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    salted = member.join(size, "c").withColumn("parts", F.ceil(F.col("size") / crowd).cast("int"))
+    salted = member.join(_merged(size), "c").withColumn("parts", F.ceil(F.col("size") / crowd).cast("int"))
     a = salted.select("c", F.pmod(F.xxhash64("employer_id"), F.col("parts").cast("bigint")).alias("salt"), F.col("employer_id").alias("employer_a"))
     b = salted.select("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts").cast("bigint") - 1)).alias("salt"), F.col("employer_id").alias("employer_b"))
-    return a.join(b, ["c", "salt"]).where("employer_a < employer_b").select("employer_a", "employer_b").distinct()
+    return a.join(_merged(b), ["c", "salt"]).where("employer_a < employer_b").select("employer_a", "employer_b").distinct()
