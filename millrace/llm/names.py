@@ -116,6 +116,18 @@ def signature(items: set[str], size: int) -> np.ndarray:
     return h.min(axis=0)
 
 
+def _edits(a: str, b: str, most: int) -> int:
+    """``distance``, without its grid where the letters alone tell that more edits are needed:
+    an edit changes at most one letter on either side, a swap none."""
+    rest, lost = b, 0
+    for c in a:
+        if c in rest:
+            rest = rest.replace(c, "", 1)
+        else:
+            lost += 1
+    return most + 1 if max(lost, len(rest)) > most else distance(a, b, most)
+
+
 def _token(a: str, b: str) -> float:
     """Similarity of two tokens: edits, or a cut-off token that begins the other."""
     cut_a, cut_b = a.endswith("."), b.endswith(".")
@@ -126,11 +138,11 @@ def _token(a: str, b: str) -> float:
         short, long = (x, y) if cut_a and (not cut_b or len(x) <= len(y)) else (y, x)
         if long.startswith(short):
             return 0.97
-        if len(short) > 4 and distance(short, long[: len(short)], 1) <= 1:
+        if len(short) > 4 and _edits(short, long[: len(short)], 1) <= 1:
             return 0.85
     size = max(len(x), len(y))
     most = int(0.4 * size)  # less alike counts as not alike
-    n = distance(x, y, most)
+    n = _edits(x, y, most)
     return 1 - n / size if size and n <= most else 0.0
 
 
@@ -150,12 +162,12 @@ def monge_elkan(a: tuple[str, ...], b: tuple[str, ...], least: float = 0.6) -> f
             for order in itertools.permutations(many):
                 text = "".join(t.rstrip(".") for t in order)
                 size = max(len(text), len(whole))
-                n = distance(text, whole, 3)
+                n = _edits(text, whole, 3)
                 if n <= 3 and size >= 8:
                     out = max(out, 1 - n / size)
-                if order[-1].endswith(".") and len(text) >= 8 and distance(text, whole[: len(text)], 1) <= 1:
+                if order[-1].endswith(".") and len(text) >= 8 and _edits(text, whole[: len(text)], 1) <= 1:
                     out = max(out, 0.95 - 0.05 * (whole[: len(text)] != text))
-                if few[0].endswith(".") and len(whole) >= 8 and distance(whole, text[: len(whole)], 1) <= 1:
+                if few[0].endswith(".") and len(whole) >= 8 and _edits(whole, text[: len(whole)], 1) <= 1:
                     out = max(out, 0.95 - 0.05 * (whole != text[: len(whole)]))
     return float(out)
 
@@ -190,26 +202,52 @@ def _as_name(node: str) -> Name:
     return Name(tuple(core.split(" ")), first)
 
 
-def candidate_pairs(nodes: DataFrame, rows: int = 5, similarity: float = 0.45, recall: float = 0.97) -> DataFrame:
-    """(a, b), a < b: nodes that share a band and whose given names can agree. The number
-    of bands follows from the collision curve; a variant needs to meet its cluster's center
-    only. Bands and pairs move as numbers, the names join at the end. Nodes of equal core
-    meet in every band; crowded bands are split by AQE, no bucket is cut."""
-    bands = bands_for(similarity, rows, recall)
+def lowest_jaccard(least: float = 0.79, q: int = 3) -> float:
+    """Jaccard similarity of the shortest name that verifies with one edit and of its worst
+    variant, two swapped letters in the middle (q + 1 grams lost on either side)."""
+    letters = int(np.ceil(1 / (1 - least) - 1e-9))
+    own = letters + q - 2
+    shared = max(0, own - q - 1)
+    return shared / (2 * own - shared)
+
+
+def banded(nodes: DataFrame, rows: int, bands: int) -> DataFrame:
+    """(id, band, form): band keys of every core. Form 0 is the tokens of a core of several,
+    1 a core of one token, 2 a core of several without gaps, in its order and reversed."""
 
     def run(batches):
+        size = rows * 8
         for pdf in batches:
-            keys = np.empty((len(pdf), bands), dtype=np.int64)
-            for k, node in enumerate(pdf.node):
-                sig = signature(grams(_as_name(node).core), rows * bands).tobytes()
-                size = rows * 8
-                keys[k] = [xxhash.xxh64_intdigest(sig[x * size : (x + 1) * size], seed=x) - (1 << 63) for x in range(bands)]
-            yield pd.DataFrame({"id": np.repeat(pdf.id.to_numpy(), bands), "band": keys.ravel()})
-
+            ids, keys, forms = [], [], []
+            for i, node in zip(pdf.id, pdf.node):
+                core = _as_name(node).core
+                made = [(int(len(core) == 1), core)]
+                if len(core) > 1:
+                    plain = [t.rstrip(".") for t in core]
+                    made += [(2, ("".join(plain),)), (2, ("".join(reversed(plain)),))]
+                for form, tokens in made:
+                    sig = signature(grams(tokens), rows * bands).tobytes()
+                    ids.append(i)
+                    forms.append(form)
+                    keys.append(np.fromiter((xxhash.xxh64_intdigest(sig[x * size : (x + 1) * size], seed=x) - (1 << 63) for x in range(bands)), dtype=np.int64, count=bands))
+            yield pd.DataFrame({"id": np.repeat(np.array(ids, dtype=np.int64), bands), "band": np.concatenate(keys) if keys else np.empty(0, dtype=np.int64), "form": np.repeat(np.array(forms, dtype=np.int8), bands)})
+
+    return spread(nodes).mapInPandas(run, "id bigint, band bigint, form tinyint")
+
+
+def candidate_pairs(nodes: DataFrame, rows: int = 3, similarity: float | None = None, recall: float = 0.97) -> DataFrame:
+    """(a, b), a < b: nodes that share a band and whose given names can agree. The number
+    of bands follows from the collision curve at the lowest Jaccard of one edit; several
+    swaps in a long name lie lower and meet less surely. Forms without gaps meet cores of one
+    token only, as verification compares no others without gaps. Bands and pairs move as numbers, the names
+    join at the end. Nodes of equal core meet in every band; crowded bands are split by AQE,
+    no bucket is cut."""
+    bands = bands_for(lowest_jaccard() if similarity is None else similarity, rows, recall)
     named = nodes.select(F.xxhash64("node").alias("id"), "node")
-    banded = spread(named).mapInPandas(run, "id bigint, band bigint")
-    a, b = banded.withColumnRenamed("id", "ia"), banded.withColumnRenamed("id", "ib")
-    pairs = a.join(_merged(b), "band").where("ia < ib").select("ia", "ib").distinct()
+    keys = banded(named, rows, bands)
+    a, b = keys.select(F.col("id").alias("ia"), "band", F.col("form").alias("ma")), keys.select(F.col("id").alias("ib"), "band", F.col("form").alias("mb"))
+    meet = ((F.col("ma") < 2) & (F.col("mb") < 2)) | (F.col("ma") + F.col("mb") == 3)
+    pairs = a.join(_merged(b), "band").where((F.col("ia") < F.col("ib")) & meet).select("ia", "ib").distinct()
     full = pairs.join(_merged(named.select(F.col("id").alias("ia"), F.col("node").alias("na"))), "ia").join(_merged(named.select(F.col("id").alias("ib"), F.col("node").alias("nb"))), "ib")
     fa, fb = F.substring_index("na", "|", 1), F.substring_index("nb", "|", 1)
     agree = (fa == fb) | ((fa != "") & (fb != "") & ((F.length(fa) == 1) | (F.length(fb) == 1)) & (F.substring(fa, 1, 1) == F.substring(fb, 1, 1)))

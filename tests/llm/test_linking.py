@@ -32,6 +32,24 @@ def test_bands_reach_the_wanted_recall():
     assert names.collision(0.45, 5, n) >= 0.97 > names.collision(0.45, 5, n - 1)
 
 
+def test_candidates_of_low_overlap(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.sample("bcdfghjklmnprstvwxz", n))
+    want = set()
+    for _ in range(60):
+        short, (x, y) = word(5), (word(6), word(7))
+        swapped = short[:2] + short[3] + short[2] + short[4]
+        first, last = sorted((x, y))
+        typed = last + first[:2] + "a" + first[3:]  # reversed, without a gap, one letter wrong
+        want |= {tuple(sorted((f"|{short}", f"|{swapped}"))), tuple(sorted((f"|{first} {last}", f"|{typed}")))}
+    assert all(names.same_name(names._as_name(a), names._as_name(b)) for a, b in want)
+    nodes = spark.createDataFrame(sorted({(n, 1) for p in want for n in p}), "node string, n bigint")
+    got = {(r.a, r.b) for r in names.candidate_pairs(nodes).collect()}
+    for several in (False, True):
+        kind = {p for p in want if (" " in p[0] + p[1]) is several}
+        assert len(got & kind) / len(kind) >= 0.9
+
+
 def people(rng: random.Random, n: int):
     syllables = ["bal", "kor", "tin", "vex", "mud", "rop", "sel", "gaf", "win", "zok", "hul", "pef"]
     out = []
