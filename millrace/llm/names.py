@@ -271,18 +271,19 @@ def verified(pairs: DataFrame, least: float = 0.79) -> DataFrame:
     return pairs.mapInPandas(run, "a string, b string")
 
 
-def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n", rounds: int = 12) -> DataFrame:
+def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n") -> DataFrame:
     """(node, center): star clustering. In each round the free nodes that weigh more than
     all their free neighbours become centers and take their free neighbours, each the
-    heaviest center it sees; weight is the number of spellings and links, ties by hash."""
+    heaviest center it sees; weight is the number of spellings and links, ties by hash and
+    name. Rounds go on until no link is left: each takes at least the heaviest free node."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("links")).withColumnRenamed("a", "node")
-    rank = F.struct(F.col(weight).cast("bigint").alias("w"), F.coalesce("links", F.lit(0)).alias("l"), F.xxhash64("node").alias("h"))
+    rank = F.struct(F.col(weight).cast("bigint").alias("w"), F.coalesce("links", F.lit(0)).alias("l"), F.xxhash64("node").alias("h"), F.col("node").alias("v"))
     full = nodes.join(_merged(degree), "node", "left").select("node", rank.alias("r"))
     links = cut(both.join(_merged(full.select(F.col("node").alias("a"), F.col("r").alias("ra"))), "a").join(_merged(full.select(F.col("node").alias("b"), F.col("r").alias("rb"))), "b"))
     done = full.join(_merged(links.select(F.col("a").alias("node")).distinct()), "node", "left_anti").select("node", F.col("node").alias("center"))
     left = links
-    for _ in range(rounds):
+    while not left.isEmpty():
         top = left.groupBy("a").agg(F.max("rb").alias("most"), F.first("ra").alias("ra"))
         centers = top.where("ra > most").select(F.col("a").alias("node"))
         taken = left.join(_merged(centers.withColumnRenamed("node", "b")), "b", "left_semi").groupBy("a").agg(F.max_by("b", "rb").alias("center")).select(F.col("a").alias("node"), "center")
@@ -293,9 +294,7 @@ def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n", rounds: int = 1
         left = cut(left.join(_merged(gone.withColumnRenamed("node", "a")), "a", "left_anti").join(_merged(gone.withColumnRenamed("node", "b")), "b", "left_anti"))
         lonely = before.join(_merged(gone.withColumnRenamed("node", "a")), "a", "left_anti").join(_merged(left.select("a").distinct()), "a", "left_anti")
         done = done.union(lonely.select(F.col("a").alias("node"), F.col("a").alias("center")))
-        if left.isEmpty():
-            return done
-    return done.union(left.select(F.col("a").alias("node"), F.col("a").alias("center")).distinct())
+    return done
 
 
 def name_clusters(df: DataFrame, name: str = "employer_name") -> DataFrame:

@@ -50,6 +50,14 @@ def test_candidates_of_low_overlap(spark):
         assert len(got & kind) / len(kind) >= 0.9
 
 
+def test_stars_of_a_long_chain(spark):
+    n = 40  # falling weight: a round takes two nodes from the heavy end
+    nodes = spark.createDataFrame([(f"|n{k:02d}", 100 - k) for k in range(n)], "node string, n bigint")
+    edges = spark.createDataFrame([(f"|n{k:02d}", f"|n{k + 1:02d}") for k in range(n - 1)], "a string, b string")
+    got = {r.node: r.center for r in names.stars(nodes, edges).collect()}
+    assert got == {f"|n{k:02d}": f"|n{k - k % 2:02d}" for k in range(n)}
+
+
 def people(rng: random.Random, n: int):
     syllables = ["bal", "kor", "tin", "vex", "mud", "rop", "sel", "gaf", "win", "zok", "hul", "pef"]
     out = []
