@@ -31,14 +31,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share. The cluster names it in
-    spark.checkpoint.dir; only where that is unset (tests, one machine) a folder
-    of our own is taken and set."""
+    spark.checkpoint.dir; only where that is unset and the master is this machine (tests)
+    a folder of our own is taken and set. On a cluster a missing setting is an error, as a
+    folder of one machine would lose what other executors write."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
         current = sc._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="millrace-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
@@ -70,11 +73,19 @@ def ship(spark: SparkSession) -> None:
     sc._millrace_shipped = True
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Input of fewer splits than there are cores, dealt out anew: for row-wise Python over
-    a small table. Larger tables come with splits enough and are left alone."""
+def parts(spark: SparkSession) -> int:
+    """Partitions for work that costs more than its bytes tell: those of a shuffle, and at
+    least one per core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame, split: int = 32 << 20) -> DataFrame:
+    """Input smaller than ``split`` bytes per core, by the optimizer's estimate, dealt out anew:
+    for row-wise Python over a small table, which may be a single split. Larger tables come
+    with splits enough and are left alone. Nothing is run to find out."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) < cores * split else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
