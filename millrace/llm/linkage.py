@@ -6,15 +6,16 @@ into clusters of names, cities into entries of the reference list. Several passe
 blocking bring candidate pairs together; each pair gets an agreement level per
 attribute; expectation-maximisation on the counts of agreement patterns estimates the
 probabilities of each level among matches and non-matches; the posterior is the
-confidence.
+confidence. Non-matches are all pairs of the table that aren't matches, counted without
+being made; as offers of one employer are alike in other ways, they are counted apart.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from functools import reduce
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -95,14 +96,14 @@ class Titles:
                 continue
             for part in _WORDS:
                 if part not in out and len(t) > 2:
-                    guesses += [(s, part, k, k + 1, _WORDS[part][w]) for w, s in _NEAR[part].near(t)[:1]]
+                    guesses += [(s, part, k, k + 1, _WORDS[part][w]) for w, s in _NEAR[part].near(t)]
             if "tech" not in out:
-                guesses += [(s, "tech", k, k + 1, self.tech.joined[w]) for w, s in self.tech.whole.near(t)[:1] if len(t) > 2]
+                guesses += [(s, "tech", k, k + 1, self.tech.joined[w]) for w, s in self.tech.whole.near(t) if len(t) > 2]
                 for size in (2, 3):
                     span = rest[k : k + size]
                     if len(span) == size and None not in span:
-                        guesses += [(s + 0.05, "tech", k, k + size, self.tech.joined[w]) for w, s in self.tech.whole.near("".join(span))[:1]]
-        for s, part, a, b, value in sorted(guesses, key=lambda g: (-g[0], g[1], g[2])):
+                        guesses += [(s + 0.05, "tech", k, k + size, self.tech.joined[w]) for w, s in self.tech.whole.near("".join(span))]
+        for s, part, a, b, value in sorted(guesses, key=lambda g: (-g[0], g[1], g[2], str(g[4]))):
             if part not in out and all(rest[k] is not None for k in range(a, b)) and s >= 0.6:
                 out[part] = value
                 take(a, b)
@@ -115,6 +116,10 @@ class Titles:
                 near = {words[w] for t in rest if t and t not in _IDLE and not t.isdigit() for w in words if max(len(t), len(w)) > 1 and distance(t, w, 1) <= 1 and len(w) < 5}
                 if len(near) == 1:
                     out[part] = near.pop()
+        # an area that no list holds: the one word that is left over names it
+        over = {t for t in rest if t and t not in _IDLE and len(t) > 3 and t.isalpha()} - {w for words in _WORDS.values() for w in words}
+        if "area" not in out and len(over) == 1:
+            out["area"] = "=" + over.pop()
         return out
 
 
@@ -156,8 +161,9 @@ def vacancies(offers: DataFrame, canon: DataFrame) -> DataFrame:
     return parted.join(names, "employer_name", "left").drop("employer_name")
 
 
-#: blocking passes: attributes that must be equal (city: one of them)
-PASSES = (("employer", "tech", "city"), ("tech", "kind", "level", "area"), ("employer", "kind", "level", "area"), ("employer", "tech", "level", "area"))
+#: blocking passes: attributes that must be equal (city: one of them). Each has the employer,
+#: so that a block grows with one employer's offers of one kind and not with the table
+PASSES = (("employer", "tech", "city"), ("employer", "kind", "level", "area"), ("employer", "tech", "level", "area"))
 
 
 def compared(rows: DataFrame) -> DataFrame:
@@ -184,53 +190,130 @@ def compared(rows: DataFrame) -> DataFrame:
         x, y = F.col(f"{c}_a"), F.col(f"{c}_b")
         return F.when(x.isNull() | y.isNull(), "1").when(x == y, "2").otherwise("0")
 
-    city = F.when((F.size("cities_a") == 0) | (F.size("cities_b") == 0), "1").when(F.arrays_overlap("cities_a", "cities_b"), "2").otherwise("0")
+    city = F.when(F.arrays_overlap("cities_a", "cities_b"), "2").otherwise("0")  # offers without a city share none
     return both.select("offer_a", "offer_b", F.concat(*[level(c) for c in ATTRIBUTES[:-1]], city).alias("pattern"))
 
 
-#: expected agreement levels of an attribute among matches
-_MATCH = {"0": 0.002, "1": 0.018, "2": 0.98}
-
-
-def fit(counts: dict[str, int], rounds: int = 200, prior: float = 0.5) -> tuple[float, list[dict[str, float]], list[dict[str, float]]]:
-    """EM for the share of matches and, per attribute, the probability of each agreement
-    level among matches and non-matches. Starts from agreement being likelier in matches;
-    ``prior`` weighs the expectation that copies of one vacancy seldom differ (``_MATCH``),
-    as a share of the pairs."""
-    n = len(ATTRIBUTES)
-    m = [{"0": 0.05, "1": 0.05, "2": 0.9} for _ in range(n)]
-    u = [{"0": 0.6, "1": 0.1, "2": 0.3} for _ in range(n)]
-    p, total = 0.2, sum(counts.values())
+def agreement(rows: DataFrame) -> dict[str, dict[str, tuple[int, int, int]]]:
+    """How many of all pairs of offers of different sources differ, are unknown and agree, by
+    attribute: ``any`` among all pairs, ``same`` among those of one employer. Counted from the
+    sizes of groups of equal values, so that no pair is made. A pair with several common
+    cities counts once for each, at most as one."""
+    entry = lambda a, v: F.when(v.isNotNull(), F.struct(F.lit(a).alias("part"), v.cast("string").alias("value")))
+    one = F.lit("")
+    parts_ = [entry("all", one)]
+    for c in ("tech", "kind", "level", "area"):
+        parts_ += [entry(c, F.col(c)), entry(f"{c}?", F.when(F.col(c).isNotNull(), one))]
+    own = F.concat(F.array_compact(F.array(*parts_)), F.transform("cities", lambda x: F.struct(F.lit("city").alias("part"), x.alias("value"))))
+    sized = rows.select("employer", "source", F.explode(own).alias("p")).groupBy("employer", "source", "p.part", "p.value").agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+    def pairs(keys: list[str], within: DataFrame) -> dict[str, float]:
+        by_source = within.groupBy(*keys, "source").agg(F.sum("n").alias("n"))
+        across = by_source.groupBy(*keys).agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("k"))
+        return {r.part: r.k for r in across.groupBy("part").agg(F.sum("k").alias("k")).collect()}
+
+    out = {}
+    same = pairs(["employer", "part", "value"], sized.where("employer is not null"))
+    for name, got in (("any", pairs(["part", "value"], sized)), ("same", same)):
+        total = got.get("all", 0.0)
+        out[name] = {"employer": (total - same.get("all", 0.0), 0.0, same.get("all", 0.0))} if name == "any" else {"employer": (0.0, 0.0, total)}
+        for c in ("tech", "kind", "level", "area"):
+            known, agree = got.get(f"{c}?", 0.0), got.get(c, 0.0)
+            out[name][c] = (known - agree, total - known, agree)
+        agree = min(total, got.get("city", 0.0))
+        out[name]["city"] = (total - agree, 0.0, agree)
+    return out
+
+
+class Model(NamedTuple):
+    """Shares of matches and of siblings among all pairs and, per attribute, the probability of
+    each agreement level among matches (m), other pairs (u, by whether the employer agrees) and
+    siblings: vacancies that were written alike but for one attribute, which differs (``odd``
+    tells how often it is which; n holds for the others)."""
+
+    p: float
+    m: list[dict[str, float]]
+    u: dict[str, list[dict[str, float]]]
+    siblings: float
+    odd: list[float]
+    n: list[dict[str, float]]
+
+
+def shares(pattern: str, model: Model) -> tuple[float, float, list[float]]:
+    """Posterior of a match, of any other pair, and of a sibling by the attribute that differs."""
+    match, other = model.p, 1 - model.p - model.siblings
+    for i, c in enumerate(pattern):
+        match *= model.m[i][c]
+        other *= model.u["any" if i == 0 or pattern[0] != "2" else "same"][i][c]
+    near = []
+    for j, c in enumerate(pattern):
+        w = model.siblings * model.odd[j] if c == "0" else 0.0
+        for i, x in enumerate(pattern):
+            w *= 1.0 if i == j else model.n[i][x]
+        near.append(w)
+    total = match + other + sum(near) or 1.0
+    return match / total, other / total, [w / total for w in near]
+
+
+def posterior(pattern: str, model: Model) -> float:
+    """The chance that a pair of this pattern is a match."""
+    return shares(pattern, model)[0]
+
+
+def fit(counts: dict[str, int], totals: dict[str, dict[str, tuple[int, int, int]]], rounds: int = 200, pseudo: float = 2.0, misread: float = 0.001) -> Model:
+    """EM over all pairs of the table: those compared, by their pattern, and the rest, which are
+    non-matches and known as ``totals`` (what ``agreement`` counts).
+
+    A vacancy's postings agree in all attributes by definition, so that an attribute differs
+    among matches only where it was misread: in at most a share ``misread`` of them, which
+    bounds the M-step whatever the size of the data. ``pseudo`` pairs per level keep
+    probabilities off zero."""
+    size, levels = len(ATTRIBUTES), "012"
+    bound = lambda d: {c: misread if c == "0" else d[c] * (1 - misread) / (d["1"] + d["2"]) for c in levels} if d["0"] > misread else d
+    level_shares = lambda t: {c: (x + pseudo) / (sum(t) + 3 * pseudo) for c, x in zip(levels, t)}
+    total = max(1.0, sum(totals["any"]["employer"]))
+    start = min(0.25, 1 / total**0.5)
+    model = Model(start, [bound({"0": 0.05, "1": 0.05, "2": 0.9})] * size, {k: [level_shares(t[a]) for a in ATTRIBUTES] for k, t in totals.items()}, start, [1 / size] * size, [{"0": 0.05, "1": 0.05, "2": 0.9}] * size)
     for _ in range(rounds):
-        mass, new_m, new_u = 0.0, [{c: prior * total * w for c, w in _MATCH.items()} for _ in range(n)], [defaultdict(lambda: 1e-3) for _ in range(n)]
+        mass, alike = 0.0, [0.0] * size
+        got, kin = ([dict.fromkeys(levels, 0.0) for _ in range(size)] for _ in range(2))
+        same = [dict.fromkeys(levels, 0.0) for _ in range(size)]
         for pattern, k in counts.items():
-            w = posterior(pattern, p, m, u)
-            mass += k * w
+            match, _, near = shares(pattern, model)
+            mass += k * match
+            alike = [x + k * w for x, w in zip(alike, near)]
             for i, c in enumerate(pattern):
-                new_m[i][c] += k * w
-                new_u[i][c] += k * (1 - w)
-        old = p
-        p = min(1 - 1e-6, max(1e-6, mass / max(1, total)))
-        m = [{c: d[c] / sum(d[x] for x in "012") for c in "012"} for d in new_m]
-        u = [{c: d[c] / sum(d[x] for x in "012") for c in "012"} for d in new_u]
-        if abs(old - p) < 1e-10:
+                got[i][c] += k * match
+                kin[i][c] += k * (sum(near) - near[i])
+                same[i][c] += k * (match + sum(near)) * (pattern[0] == "2")
+        both = [{c: got[i][c] + kin[i][c] + k for c, k in zip(levels, (alike[i], 0.0, 0.0))} for i in range(size)]
+        taken = {"any": both, "same": same}
+        p = min(0.25, max(1e-12, mass / total))
+        new = Model(
+            p, [bound({c: (g[c] + pseudo * (c == "2") + 1e-3) / (mass + pseudo + 3e-3) for c in levels}) for g in got],
+            {k: [level_shares([max(0.0, x - taken[k][i][c]) for c, x in zip(levels, totals[k][a])]) for i, a in enumerate(ATTRIBUTES)] for k in totals},
+            min(0.25, max(1e-12, sum(alike) / total)), [(x + pseudo) / (sum(alike) + size * pseudo) for x in alike], [level_shares([g[c] for c in levels]) for g in kin])
+        done = abs(new.p - model.p) < 1e-12 and abs(new.siblings - model.siblings) < 1e-12
+        model = new
+        if done:
             break
-    return p, m, u
-
-
-def posterior(pattern: str, p: float, m: list[dict[str, float]], u: list[dict[str, float]]) -> float:
-    odds = math.log(p / (1 - p)) + sum(math.log(m[i][c] / u[i][c]) for i, c in enumerate(pattern))
-    return 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
+    return model
 
 
 def matches(offers: DataFrame, canon: DataFrame) -> DataFrame:
     """(offer_a, offer_b, pattern, confidence): every compared pair with its posterior.
 
-    Only the counts of the at most 3**6 patterns come to the driver."""
-    pairs = cut(compared(cut(vacancies(offers, canon))))
+    Only the counts of the at most 3**6 patterns and of agreeing pairs come to the driver."""
+    rows = cut(vacancies(offers, canon))
+    pairs = cut(compared(rows))
     counts = {r.pattern: r["count"] for r in pairs.groupBy("pattern").count().collect()}
     if not counts:
         return pairs.withColumn("confidence", F.lit(None).cast("double"))
-    p, m, u = fit(counts)
-    said = F.create_map(*[F.lit(x) for c in counts for x in (c, posterior(c, p, m, u))])
+    model = fit(counts, agreement(rows))
+    said = F.create_map(*[F.lit(x) for c in counts for x in (c, posterior(c, model))])
     return pairs.withColumn("confidence", F.element_at(said, F.col("pattern")))
+
+
+def same_vacancy(found: DataFrame, sure: float = 0.5) -> DataFrame:
+    """The pairs whose posterior is at least ``sure``."""
+    return found.where(F.col("confidence") >= sure).select("offer_a", "offer_b")

@@ -8,16 +8,17 @@ verified by Monge-Elkan similarity of their tokens and clustered by stars.
 
 from __future__ import annotations
 
+import itertools
 import re
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, spread
+from ..session import cut, parts, spread
 from .canonical import Vocabulary, distance, fold
 
 # fixed values: legal forms, over folded text
@@ -82,8 +83,9 @@ def part_name(text: str | None) -> Name | None:
     return Name(tuple(sorted(core)), first) if core else None
 
 
-def grams(core: tuple[str, ...], q: int = 3) -> set[str]:
-    """Padded q-grams of all tokens; those of the text without gaps count too."""
+def grams(core: tuple[str, ...], q: int = 2) -> set[str]:
+    """Padded q-grams of all tokens; a cut-off token has no end. With q = 2 a name run
+    together, in any order of its parts, loses no more than the grams at the joints."""
     out = set()
     for t in core:
         padded = "#" * (q - 1) + t.rstrip(".") + ("" if t.endswith(".") else "$")
@@ -101,14 +103,21 @@ def bands_for(s: float, rows: int, recall: float) -> int:
     return int(np.ceil(np.log(1 - recall) / np.log(1 - s**rows)))
 
 
-_MASK = np.uint64((1 << 61) - 1)
+_HASHES: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _hashes(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and offsets of the first ``size`` hash functions, drawn once per process."""
+    if not _HASHES or len(_HASHES[0][0]) < size:
+        rng = np.random.default_rng(11)
+        drawn = rng.integers(1, 1 << 61, (max(size, 2048), 2), dtype=np.uint64)
+        _HASHES[:] = [(drawn[:, 0] | np.uint64(1), drawn[:, 1])]
+    return _HASHES[0][0][:size], _HASHES[0][1][:size]
 
 
 def signature(items: set[str], size: int) -> np.ndarray:
-    """MinHash signature of a set."""
-    rng = np.random.default_rng(11)
-    a = rng.integers(1, 1 << 61, size, dtype=np.uint64) | np.uint64(1)
-    b = rng.integers(0, 1 << 61, size, dtype=np.uint64)
+    """MinHash signature of a set. A longer signature begins with the shorter."""
+    a, b = _hashes(size)
     x = np.array([xxhash.xxh64_intdigest(i) for i in sorted(items)], dtype=np.uint64)
     with np.errstate(over="ignore"):
         h = x[:, None] * a[None, :] + b[None, :]
@@ -153,25 +162,49 @@ def monge_elkan(a: tuple[str, ...], b: tuple[str, ...], least: float = 0.6) -> f
     sims = [[_token(x, y) for y in b] for x in a]
     rows, cols = [max(r) for r in sims], [max(c) for c in zip(*sims)]
     out = min(np.mean(rows), np.mean(cols)) if min(rows + cols) >= least else 0.0
-    if len(a) != len(b):
-        import itertools
-
+    if len(a) != len(b) and min(len(a), len(b)) == 1:
         few, many = (a, b) if len(a) < len(b) else (b, a)
-        if len(few) == 1 and len(many) <= 4:
-            whole = few[0].rstrip(".")
-            for order in itertools.permutations(many):
-                text = "".join(t.rstrip(".") for t in order)
-                size = max(len(text), len(whole))
-                n = _edits(text, whole, 3)
-                if n <= 3 and size >= 8:
-                    out = max(out, 1 - n / size)
-                if order[-1].endswith(".") and len(text) >= 8 and _edits(text, whole[: len(text)], 1) <= 1:
-                    out = max(out, 0.95 - 0.05 * (whole[: len(text)] != text))
-                if few[0].endswith(".") and len(whole) >= 8 and _edits(whole, text[: len(whole)], 1) <= 1:
-                    out = max(out, 0.95 - 0.05 * (whole != text[: len(whole)]))
+        out = max(out, _run_together(few[0], many))
     return float(out)
 
 
+def _run_together(one: str, many: tuple[str, ...]) -> float:
+    """Similarity of one token and several without gaps, in any order: at most 3 edits, or one
+    where either is cut off. All orders of up to four; of more, a search over the tokens that
+    may stand at each place, within the edits that are left."""
+    whole = one.rstrip(".")
+    if len(many) > 4:
+        size = max(len(whole), sum(len(t.rstrip(".")) for t in many))
+        n = _laid(whole, tuple(t.rstrip(".") for t in many), 3)
+        return 1 - n / size if n <= 3 and size >= 8 else 0.0
+    out = 0.0
+    for order in itertools.permutations(many):
+        text = "".join(t.rstrip(".") for t in order)
+        size = max(len(text), len(whole))
+        n = _edits(text, whole, 3)
+        if n <= 3 and size >= 8:
+            out = max(out, 1 - n / size)
+        if order[-1].endswith(".") and len(text) >= 8 and _edits(text, whole[: len(text)], 1) <= 1:
+            out = max(out, 0.95 - 0.05 * (whole[: len(text)] != text))
+        if one.endswith(".") and len(whole) >= 8 and _edits(whole, text[: len(whole)], 1) <= 1:
+            out = max(out, 0.95 - 0.05 * (whole != text[: len(whole)]))
+    return out
+
+
+def _laid(whole: str, parts: tuple[str, ...], most: int) -> int:
+    """Fewest edits that lay all parts side by side over ``whole``, most + 1 if more."""
+    if not parts:
+        return min(len(whole), most + 1)
+    best = most + 1
+    for k, t in enumerate(parts):
+        rest = parts[:k] + parts[k + 1 :]
+        for size in range(max(0, len(t) - most), min(len(whole), len(t) + most) + 1):
+            n = distance(t, whole[:size], best - 1) if best else 1
+            if n < best:
+                best = min(best, n + _laid(whole[size:], rest, best - 1 - n))
+    return best
+
+
 def firsts_agree(a: str, b: str) -> bool:
     """Whether two given names can be the same person's: equal, or one the other's initial."""
     if not a or not b:
@@ -202,56 +235,54 @@ def _as_name(node: str) -> Name:
     return Name(tuple(core.split(" ")), first)
 
 
-def lowest_jaccard(least: float = 0.79, q: int = 3) -> float:
-    """Jaccard similarity of the shortest name that verifies with one edit and of its worst
-    variant, two swapped letters in the middle (q + 1 grams lost on either side)."""
-    letters = int(np.ceil(1 / (1 - least) - 1e-9))
-    own = letters + q - 2
-    shared = max(0, own - q - 1)
-    return shared / (2 * own - shared)
+def lowest_jaccard(letters: int, q: int = 2) -> float:
+    """Jaccard similarity of a name of so many letters and of its worst variant of one edit,
+    two swapped letters in the middle (q + 1 grams lost on either side). Names of fewer than
+    five letters have no variant that verifies and count as five."""
+    own = max(letters, 5) + q - 1
+    return (own - q - 1) / (own + q + 1)
+
 
+def bands_of(letters: int, rows: int, recall: float, least: int) -> int:
+    """Bands of a name: from the collision curve at one edit, but at least ``least``, as longer
+    names may have several. The shorter of two names has the more bands, so that a pair shares
+    those of the longer."""
+    return max(least, bands_for(lowest_jaccard(letters), rows, recall))
 
-def banded(nodes: DataFrame, rows: int, bands: int) -> DataFrame:
-    """(id, band, form): band keys of every core. Form 0 is the tokens of a core of several,
-    1 a core of one token, 2 a core of several without gaps, in its order and reversed."""
+
+def banded(nodes: DataFrame, rows: int, recall: float, least: int) -> DataFrame:
+    """(id, band): the band keys of every core. The initial of the given name (none for firms)
+    is part of the key, as names that differ in it are never one."""
 
     def run(batches):
         size = rows * 8
         for pdf in batches:
-            ids, keys, forms = [], [], []
+            ids, keys, counts = [], [], []
             for i, node in zip(pdf.id, pdf.node):
-                core = _as_name(node).core
-                made = [(int(len(core) == 1), core)]
-                if len(core) > 1:
-                    plain = [t.rstrip(".") for t in core]
-                    made += [(2, ("".join(plain),)), (2, ("".join(reversed(plain)),))]
-                for form, tokens in made:
-                    sig = signature(grams(tokens), rows * bands).tobytes()
-                    ids.append(i)
-                    forms.append(form)
-                    keys.append(np.fromiter((xxhash.xxh64_intdigest(sig[x * size : (x + 1) * size], seed=x) - (1 << 63) for x in range(bands)), dtype=np.int64, count=bands))
-            yield pd.DataFrame({"id": np.repeat(np.array(ids, dtype=np.int64), bands), "band": np.concatenate(keys) if keys else np.empty(0, dtype=np.int64), "form": np.repeat(np.array(forms, dtype=np.int8), bands)})
-
-    return spread(nodes).mapInPandas(run, "id bigint, band bigint, form tinyint")
-
-
-def candidate_pairs(nodes: DataFrame, rows: int = 3, similarity: float | None = None, recall: float = 0.97) -> DataFrame:
-    """(a, b), a < b: nodes that share a band and whose given names can agree. The number
-    of bands follows from the collision curve at the lowest Jaccard of one edit; several
-    swaps in a long name lie lower and meet less surely. Forms without gaps meet cores of one
-    token only, as verification compares no others without gaps. Bands and pairs move as numbers, the names
-    join at the end. Nodes of equal core meet in every band; crowded bands are split by AQE,
-    no bucket is cut."""
-    bands = bands_for(lowest_jaccard() if similarity is None else similarity, rows, recall)
+                name = _as_name(node)
+                n = bands_of(sum(len(t.rstrip(".")) for t in name.core), rows, recall, least)
+                sig = signature(grams(name.core), rows * n).tobytes()
+                start = name.first[:1].encode()
+                ids.append(i)
+                counts.append(n)
+                keys.append(np.fromiter((xxhash.xxh64_intdigest(start + sig[x * size : (x + 1) * size], seed=x) - (1 << 63) for x in range(n)), dtype=np.int64, count=n))
+            yield pd.DataFrame({"id": np.repeat(np.array(ids, dtype=np.int64), counts), "band": np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)})
+
+    return spread(nodes).mapInPandas(run, "id bigint, band bigint")
+
+
+def candidate_pairs(nodes: DataFrame, rows: int = 4, recall: float = 0.97, least: int = 80) -> DataFrame:
+    """(a, b), a < b: nodes that share a band and whose given names can agree. Bands and pairs
+    move as numbers, the names join at the end; pairs are dealt out by their number, not by
+    their bytes, as verification is what costs. Nodes are distinct, so that a surname has no
+    more nodes than there are given names and initials; no bucket is cut."""
     named = nodes.select(F.xxhash64("node").alias("id"), "node")
-    keys = banded(named, rows, bands)
-    a, b = keys.select(F.col("id").alias("ia"), "band", F.col("form").alias("ma")), keys.select(F.col("id").alias("ib"), "band", F.col("form").alias("mb"))
-    meet = ((F.col("ma") < 2) & (F.col("mb") < 2)) | (F.col("ma") + F.col("mb") == 3)
-    pairs = a.join(_merged(b), "band").where((F.col("ia") < F.col("ib")) & meet).select("ia", "ib").distinct()
+    keys = banded(named, rows, recall, least)
+    pairs = keys.withColumnRenamed("id", "ia").join(_merged(keys.withColumnRenamed("id", "ib")), "band").where("ia < ib").select("ia", "ib").distinct()
     full = pairs.join(_merged(named.select(F.col("id").alias("ia"), F.col("node").alias("na"))), "ia").join(_merged(named.select(F.col("id").alias("ib"), F.col("node").alias("nb"))), "ib")
     fa, fb = F.substring_index("na", "|", 1), F.substring_index("nb", "|", 1)
     agree = (fa == fb) | ((fa != "") & (fb != "") & ((F.length(fa) == 1) | (F.length(fb) == 1)) & (F.substring(fa, 1, 1) == F.substring(fb, 1, 1)))
-    return full.where(agree).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    return full.where(agree).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).repartition(parts(nodes.sparkSession), "a", "b")
 
 
 def _merged(df: DataFrame) -> DataFrame:
@@ -275,26 +306,31 @@ def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n") -> DataFrame:
     """(node, center): star clustering. In each round the free nodes that weigh more than
     all their free neighbours become centers and take their free neighbours, each the
     heaviest center it sees; weight is the number of spellings and links, ties by hash and
-    name. Rounds go on until no link is left: each takes at least the heaviest free node."""
+    name. Rounds go on until no link is left: each takes at least the heaviest free node.
+    Nodes that no center took, those without links among them, are centers of their own.
+
+    Links are kept in both directions, so that a round is two windows, one per end, and an
+    anti join; one checkpoint per round."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("links")).withColumnRenamed("a", "node")
     rank = F.struct(F.col(weight).cast("bigint").alias("w"), F.coalesce("links", F.lit(0)).alias("l"), F.xxhash64("node").alias("h"), F.col("node").alias("v"))
     full = nodes.join(_merged(degree), "node", "left").select("node", rank.alias("r"))
-    links = cut(both.join(_merged(full.select(F.col("node").alias("a"), F.col("r").alias("ra"))), "a").join(_merged(full.select(F.col("node").alias("b"), F.col("r").alias("rb"))), "b"))
-    done = full.join(_merged(links.select(F.col("a").alias("node")).distinct()), "node", "left_anti").select("node", F.col("node").alias("center"))
-    left = links
-    while not left.isEmpty():
-        top = left.groupBy("a").agg(F.max("rb").alias("most"), F.first("ra").alias("ra"))
-        centers = top.where("ra > most").select(F.col("a").alias("node"))
-        taken = left.join(_merged(centers.withColumnRenamed("node", "b")), "b", "left_semi").groupBy("a").agg(F.max_by("b", "rb").alias("center")).select(F.col("a").alias("node"), "center")
-        now = cut(taken.union(centers.select("node", F.col("node").alias("center"))))
-        done = done.union(now)
-        gone = now.select("node")
-        before = left.select("a").distinct()
-        left = cut(left.join(_merged(gone.withColumnRenamed("node", "a")), "a", "left_anti").join(_merged(gone.withColumnRenamed("node", "b")), "b", "left_anti"))
-        lonely = before.join(_merged(gone.withColumnRenamed("node", "a")), "a", "left_anti").join(_merged(left.select("a").distinct()), "a", "left_anti")
-        done = done.union(lonely.select(F.col("a").alias("node"), F.col("a").alias("center")))
-    return done
+    left = both.join(_merged(full.select(F.col("node").alias("a"), F.col("r").alias("ra"))), "a").join(_merged(full.select(F.col("node").alias("b"), F.col("r").alias("rb"))), "b")
+    from_a, from_b = Window.partitionBy("a"), Window.partitionBy("b")
+    done = None
+    while True:
+        marked = left.withColumn("ca", F.col("ra") > F.max("rb").over(from_a))
+        taken = F.max(F.when(F.col("ca"), F.col("ra"))).over(from_b)["v"]
+        center = F.when(F.col("rb") > F.max("ra").over(from_b), F.col("b")).otherwise(taken)
+        now = cut(marked.withColumn("center", center).select("a", "ra", "b", "rb", "center"))
+        if now.isEmpty():
+            break
+        gone = now.where("center is not null").select(F.col("b").alias("node"), "center").distinct()
+        done = gone if done is None else done.union(gone)
+        left = now.where("center is null").drop("center").join(_merged(gone.select(F.col("node").alias("a"))), "a", "left_anti")
+    if done is None:
+        return full.select("node", F.col("node").alias("center"))
+    return full.select("node").join(_merged(done), "node", "left").select("node", F.coalesce("center", "node").alias("center"))
 
 
 def name_clusters(df: DataFrame, name: str = "employer_name") -> DataFrame:

@@ -16,9 +16,8 @@ BYTE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """The pairs of postings of one vacancy: confident, and no attribute that differs."""
-    pairs = linkage.matches(table(spark, d, "offer"), table(spark, d, "canon_value"))
-    return pairs.where((F.col("confidence") >= 0.5) & ~F.col("pattern").contains("0") & F.col("pattern").endswith("2")).select("offer_a", "offer_b")
+    """The pairs of postings of one vacancy: those with a posterior of at least one half."""
+    return linkage.same_vacancy(linkage.matches(table(spark, d, "offer"), table(spark, d, "canon_value")))
 
 
 def p1_confidence(spark: SparkSession, d: str) -> DataFrame:

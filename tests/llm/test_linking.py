@@ -50,6 +50,12 @@ def test_candidates_of_low_overlap(spark):
         assert len(got & kind) / len(kind) >= 0.9
 
 
+def test_more_than_four_parts_run_together():
+    parts = ("abel", "bora", "cedi", "dofu", "egam")
+    assert names.monge_elkan(parts, ("cediabeldofuegambora",)) == 1.0
+    assert names.monge_elkan(parts, ("cediabelxdofuegambora",)) > 0.9 and names.monge_elkan(parts, ("zzzzabelqqqqdofuegambora",)) < 0.79
+
+
 def test_stars_of_a_long_chain(spark):
     n = 40  # falling weight: a round takes two nodes from the heavy end
     nodes = spark.createDataFrame([(f"|n{k:02d}", 100 - k) for k in range(n)], "node string, n bigint")
@@ -116,10 +122,39 @@ def test_titles(spark, title, want):
     assert (p.get("tech"), p.get("kind"), p.get("level"), p.get("area")) == want
 
 
-def test_em_separates_matches():
-    m, p = {"222222": 900, "000000": 5000, "200000": 3000, "022202": 300, "222220": 40}, None
-    p, a, b = linkage.fit(m)
-    assert linkage.posterior("222222", p, a, b) > 0.99 and linkage.posterior("000000", p, a, b) < 0.01 and all(abs(sum(x.values()) - 1) < 1e-9 for x in a + b)
+def totals(n: int = 600_000):
+    """All pairs of a table as ``agreement`` counts them: the more alike within an employer."""
+    part = lambda k, share: (k - round(k * share), 0, round(k * share))
+    rates = dict(zip(linkage.ATTRIBUTES[1:], (0.02, 0.3, 0.2, 0.03, 0.1)))
+    same = n // 100
+    return {"any": {"employer": (n - same, 0, same), **{a: part(n, r) for a, r in rates.items()}}, "same": {"employer": (0, 0, same), **{a: part(same, 1.5 * r) for a, r in rates.items()}}}
+
+
+@pytest.mark.parametrize("scale", [1, 1000])
+def test_em_separates_matches(scale):
+    counts = {"222222": 900, "202220": 700, "220220": 80, "222202": 90, "222022": 70, "220222": 60, "222220": 120}
+    model = linkage.fit({k: n * scale for k, n in counts.items()}, {k: {a: tuple(x * scale for x in t) for a, t in d.items()} for k, d in totals().items()})
+    assert linkage.posterior("222222", model) > 0.99
+    assert all(linkage.posterior(c, model) < 0.5 for c in counts if "0" in c)
+    for d in [*model.m, *model.n, *model.u["any"], *model.u["same"]]:
+        assert abs(sum(d.values()) - 1) < 1e-9
+    assert abs(sum(model.odd) - 1) < 1e-9 and abs(sum(linkage.shares("222202", model)[2]) + sum(linkage.shares("222202", model)[:2]) - 1) < 1e-9
+
+
+def test_agreement_equals_counted_pairs(spark):
+    rng = random.Random(2)
+    pick = lambda *x: rng.choice([*x, None])
+    rows = [(k, rng.choice("ab"), pick(1, 2), pick(1, 2, 3), pick("d", "t"), pick("s"), pick("x", "y"), rng.choice([[], ["1"], ["2"]])) for k in range(60)]
+    df = spark.createDataFrame(rows, "offer_id bigint, source string, employer bigint, tech bigint, kind string, level string, area string, cities array<string>")
+    got = linkage.agreement(df)
+    for name in ("any", "same"):
+        pairs = [(x, y) for i, x in enumerate(rows) for y in rows[i + 1 :] if x[1] != y[1] and (name == "any" or x[2] is not None and x[2] == y[2])]
+        for i, c in ((3, "tech"), (4, "kind"), (5, "level"), (6, "area")):
+            unknown = sum(x[i] is None or y[i] is None for x, y in pairs)
+            agree = sum(x[i] is not None and x[i] == y[i] for x, y in pairs)
+            assert got[name][c] == (len(pairs) - unknown - agree, unknown, agree)
+        assert got[name]["city"][2] == sum(bool(set(x[7]) & set(y[7])) for x, y in pairs)
+    assert linkage.agreement(df.limit(0))["any"]["tech"] == (0, 0, 0)
 
 
 def test_linkage_rows(spark):
