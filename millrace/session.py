@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -54,6 +55,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _file(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_bytes(spark: SparkSession, name: str, content: bytes) -> None:
+    """A small file in the shared folder, whole or not at all: written beside and renamed. Of
+    several writers of one name the first wins."""
+    path, fs = _file(spark, name)
+    beside, _ = _file(spark, f"{name}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(beside, True)
+    out.write(bytearray(content))
+    out.close()
+    if not fs.rename(beside, path):
+        fs.delete(beside, False)
+
+
+def read_bytes(spark: SparkSession, name: str) -> bytes | None:
+    """The content of a small file, None where there is none."""
+    path, fs = _file(spark, name)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream))
+    finally:
+        stream.close()
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors' Python, once per application, through the
     shared folder."""
@@ -65,10 +95,7 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(root.rglob("*.py")):
             z.writestr(str(Path(root.name) / f.relative_to(root)), f.read_text())
     target = f"{shared_dir(spark).rstrip('/')}/code/{sc.applicationId}/{root.name}.zip"
-    path = sc._jvm.org.apache.hadoop.fs.Path(target)
-    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
-    out.write(bytearray(buffer.getvalue()))
-    out.close()
+    write_bytes(spark, target, buffer.getvalue())
     sc.addPyFile(target)
     sc._millrace_shipped = True
 
