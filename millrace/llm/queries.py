@@ -71,14 +71,17 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """The segments of documents whose label is missing or wrong or that mix languages."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
-    return language.relabelled(language.segments(docs, language.train(docs))).select("doc_id", "seg_no", "seg_lang")
+    return language.relabelled(_segments(spark, d)).select("doc_id", "seg_no", "seg_lang")
 
 
 def p10_documents(spark: SparkSession, d: str) -> DataFrame:
     """The language of every document that has sentences, with a confidence."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
-    return language.of_documents(language.segments(docs, language.train(docs))).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
+    return language.of_documents(_segments(spark, d)).select("doc_id", "lang", F.round("confidence", 4).alias("confidence"))
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return language.segments(spread(docs), language.train(docs))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_confidence, p3_found, p4_found, p4_unmatched, p7_found, p7_clusters, p8_ids, p9_found, p9_kept, p10_found, p10_documents)}
