@@ -21,8 +21,9 @@ def make_page(rng: random.Random, k: int) -> tuple[str, list[str]]:
     tag = rng.choice(["main", "div", "section"])
     nav = "".join(f"<li>{x}</li>" for x in ("Jobs", "Salaries", "Sign in"))
     card = "<div class='card'><p>Apply now</p><p>Similar offers</p><p>Lead PHP Tester (Maps)</p><p>9000 - 12000 PLN</p></div>"
-    body = f"<h1>{main[0]}</h1>" + "".join(f"<p>{x}</p>" for x in main[1:4]) + card + "".join(f"<p>{x}</p>" for x in main[4:])
-    return f"<html><head><title>{main[0]} | B</title></head><body><nav><ul>{nav}</ul></nav><{tag}>{body}</{tag}><footer><p>Terms of use</p><p>We build thing number 7 and ship it every week.</p></footer></body></html>", main
+    inside, outside = (card, "") if k % 3 == 0 else ("", card)  # boards write the same into offers and around them
+    body = f"<h1>{main[0]}</h1>" + "".join(f"<p>{x}</p>" for x in main[1:4]) + inside + "".join(f"<p>{x}</p>" for x in main[4:])
+    return f"<html><head><title>{main[0]} | B</title></head><body><nav><ul>{nav}</ul></nav><{tag}>{body}</{tag}>{outside}<footer><p>Terms of use</p><p>We build thing number 7 and ship it every week.</p></footer></body></html>", main
 
 
 def test_field_keeps_the_main_body(spark):
@@ -34,7 +35,20 @@ def test_field_keeps_the_main_body(spark):
     got = {(r.page_id, r.text_md5) for r in mainbody.main_blocks(df.where("page_id >= 60"), field).collect()}
     want = {(k, hashlib.md5(t.encode()).hexdigest()) for k, (_, main) in enumerate(made) for t in main if k >= 60}
     assert len(got & want) >= 0.98 * len(want) and len(got - want) <= 0.02 * len(want)
-    assert mainbody.main_blocks(df.limit(0), field).count() == 0 and mainbody.train(df.limit(0)).decode([]) == []
+    assert mainbody.main_blocks(df.limit(0), field).count() == 0 and mainbody.train(df.limit(0)).decode(mainbody.features(blocks.parse(""))) == []
+
+
+def test_labels_need_no_wording():
+    rng = random.Random(5)
+    pages = []
+    for k in range(80):
+        html, _ = make_page(rng, k)
+        pages.append(html.replace("</h1>", "</h1><div><p>Zorp blip</p><p>Quux now</p></div>").replace("<footer>", "<aside><p>Zorp blip</p><p>Other thing</p></aside><aside><p>Zorp blip</p></aside><aside><p>Quux now</p></aside><footer>"))
+    read = [(p, mainbody.Layout(p)) for p in map(blocks.parse, pages)]
+    wordings = mainbody.Wordings(read)
+    for page, at in read:
+        got = {b.text for b, y in zip(page.blocks, mainbody.label(page, at, wordings)) if y}
+        assert not got & {"Zorp blip", "Quux now", "Jobs"} and page.title.split(" | ")[0] in got
 
 
 def test_marginals_and_viterbi_against_all_labelings():
@@ -44,8 +58,10 @@ def test_marginals_and_viterbi_against_all_labelings():
     rng = np.random.default_rng(1)
     f.emit[:6] = rng.normal(size=(6, 2))
     f.move = rng.normal(size=(2, 2))
-    rows = [np.array([k, (k + 2) % 6]) for k in range(5)]
+    own = np.array([x for k in range(5) for x in (k, (k + 2) % 6)], dtype=np.int32)
+    rows = mainbody.Rows(own, np.arange(0, 10, 2), np.array([0, 0, 1, 1, 1]), np.array([5, 1], dtype=np.int32), np.array([0, 1]))
     s = f.scores(rows)
+    assert np.allclose(s, [f.emit[rows.of(k)].sum(axis=0) for k in range(5)])
     total = {y: sum(s[t, y[t]] for t in range(5)) + sum(f.move[a, b] for a, b in zip(y, y[1:])) for y in itertools.product((0, 1), repeat=5)}
     z = np.log(sum(np.exp(v) for v in total.values()))
     one, _ = f.marginals(s)
