@@ -111,6 +111,8 @@ def readings(df: DataFrame, value: str, zone: str, order: str) -> DataFrame:
     has = F.col("_o").isNotNull() | F.col("_zone").isNotNull()
     df = df.withColumn("day_first", F.when(F.col("family") == "epoch", epoch).when(has, _to_utc(F.col("_dm"), where, F.col("_o"))))
     df = df.withColumn("month_first", F.when(has, _to_utc(F.col("_md"), where, F.col("_o"))))
+    again = lambda utc, wall_: F.col("_o").isNull() & (F.from_utc_timestamp(F.timestamp_micros(utc + 3_600_000_000), where) == F.timestamp_micros(wall_))
+    df = df.withColumn("day_twice", F.coalesce(again(F.col("day_first"), F.col("_dm")), F.lit(False))).withColumn("month_twice", F.coalesce(again(F.col("month_first"), F.col("_md")), F.lit(False)))
     d, m = F.col("day_first").isNotNull(), F.col("month_first").isNotNull()
     form = F.when(F.col("family") != "numeric", F.when(d, F.col("family")).otherwise("none"))
     form = F.coalesce(form, F.when(d & m, F.when(F.col("day_first") == F.col("month_first"), "num_same").otherwise("num_either")).when(d, "num_day").when(m, "num_month").otherwise("none"))
@@ -122,12 +124,13 @@ def readings(df: DataFrame, value: str, zone: str, order: str) -> DataFrame:
 _CAN = {"num_either": ("day_first", "month_first"), "num_same": ("day_first", "month_first"), "num_day": ("day_first",), "num_month": ("month_first",)}
 
 
-def fit_mixture(counts: pd.DataFrame, rounds: int = 50, weight: float = 1e6) -> pd.DataFrame:
+def fit_mixture(counts: pd.DataFrame, rounds: int = 500, weight: float = 10.0) -> pd.DataFrame:
     """EM for one source over counts of forms.
 
-    The weights of the formats start at a prior in which the declared order has
-    ``weight`` pseudo-values; without a declaration both orders start equal and the
-    unambiguous values (a day above 12) decide. Gives, per form, the posterior of
+    The weights of the formats start at a weak prior in which the declared order has
+    ``weight`` pseudo-values, so that a source whose values say otherwise is followed;
+    without a declaration both orders start equal and the unambiguous values (a day above
+    12) decide. Gives, per form, the posterior of
     day_first and the chosen reading."""
     formats = sorted({f for form in counts.form for f in _CAN.get(form, (form,))} | {"day_first", "month_first"})
     declared = next((o for o in counts.declared if isinstance(o, str)), None)
@@ -173,7 +176,8 @@ def mixtures(read: DataFrame, source: str = "source") -> DataFrame:
 def normalise(df: DataFrame, boards: DataFrame, key: str, fields: list[str], sure: float = 0.9) -> DataFrame:
     """(key, field_name, source, family, utc_us, reading, posterior, ambiguous), a row
     per key and field with a value. Repeated rows count once. ``ambiguous`` marks
-    numeric dates whose reading has a posterior under ``sure``. A source that boards
+    numeric dates whose reading has a posterior under ``sure``, ``twice`` local times that
+    occur twice as clocks go back (the first is taken). A source that boards
     doesn't hold has zone UTC and no declared order."""
     pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields])
     rows = df.select(key, "source", F.explode(pairs).alias("p")).select(key, "source", "p.*").where("value is not null").distinct()
@@ -184,4 +188,5 @@ def normalise(df: DataFrame, boards: DataFrame, key: str, fields: list[str], sur
     both = read.join(fitted, (read.source.eqNullSafe(fitted.source)) & (read.form == fitted.form), "left").drop(fitted.source).drop(fitted.form)
     taken = F.when(F.col("reading") == "month_first", F.col("month_first")).otherwise(F.col("day_first"))
     chosen = F.when(F.col("form") == "none", None).otherwise(taken)
-    return both.withColumn("utc_us", chosen).withColumn("ambiguous", (F.col("form") == "num_either") & (F.col("posterior") < sure))
+    twice = F.when(F.col("reading") == "month_first", F.col("month_twice")).otherwise(F.col("day_twice"))
+    return both.withColumn("utc_us", chosen).withColumn("twice", F.coalesce(twice, F.lit(False))).drop("day_twice", "month_twice").withColumn("ambiguous", (F.col("form") == "num_either") & (F.col("posterior") < sure))

@@ -137,7 +137,9 @@ def guessed_units(pay: DataFrame, unit_month: DataFrame, least_gap: float = 0.7)
     other salary of the same offer, by log residual; null where there is none to compare.
     Not unique if the next unit is less than ``least_gap`` worse. Both salaries of an offer
     are in one partition already, so the window moves nothing."""
-    rows = unit_month.select("unit_name", "month_mult", "month_div").distinct().limit(100).collect()
+    rows = unit_month.select("unit_name", "month_mult", "month_div").distinct().limit(101).collect()
+    if len(rows) > 100:
+        raise ValueError("unit_month holds more than 100 units")
     known = F.when(F.col("unit").isNotNull(), F.log(F.coalesce("pln_month_to", "pln_month_from").cast("double")))
     both = pay.withColumn("other", F.max(known).over(Window.partitionBy("offer_id")))
     mine = F.log(F.col("cents").cast("double") * F.col("rate") / 1e6)

@@ -145,12 +145,41 @@ FILES = [
 ]
 
 
+def consolidated(spark, df, folder):
+    df.repartition(5).write.parquet(f"{folder}/files")
+    told = compaction.consolidate(spark, f"{folder}/files", f"{folder}/out")
+    return told, spark.read.parquet(f"{folder}/files"), spark.read.parquet(f"{folder}/out")
+
+
+def test_consolidation_keeps_each_record_once(spark, tmp_path):
+    half = (20, "s", "j9", "raw.job.json", '{"x": "\\ud83d", "é": 1}')
+    df = spark.createDataFrame([*FILES, FILES[0], FILES[5], half, (21, *half[1:])], "file_id bigint, source string, job_id string, artifact string, payload string").withColumn("key", F.lit(1)).withColumn("record", F.lit("x"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    told, files, out = consolidated(spark, df, tmp_path)
+    kept = out.collect()
+    assert told["records"] == len(kept) == len({r.key for r in kept}) == 7 and len(list((tmp_path / "out").glob("*.parquet"))) == 1
+    assert sorted(r.file_id for r in compaction.redundant_files(files, out).collect()) == [2, 7, 9, 10, 11, 12, 21]
+    assert {r.record for r in kept if r.scope == "j|s|"} >= {'{"a":1,"b":[1]}', '{"c":2}', '{"d":3}'}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before and sorted(p.name for p in tmp_path.iterdir()) == ["files", "out"]
+    with pytest.raises(FileExistsError):
+        compaction.consolidate(spark, str(tmp_path / "files"), str(tmp_path / "out"))
+
+
+def test_consolidation_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([], "file_id bigint, source string, job_id string, artifact string, payload string")
+    told, files, out = consolidated(spark, df, tmp_path)
+    assert told["records"] == 0 and compaction.redundant_files(files, spark.read.schema(compaction.RECORD).parquet(str(tmp_path / "out"))).count() == 0
+
+
+def test_a_bad_copy_is_not_published(spark, tmp_path, monkeypatch):
+    spark.range(10).write.parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(compaction, "_summary", lambda df, n=iter(range(9)): (next(n), 0))
+    with pytest.raises(RuntimeError):
+        compaction.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert [p.name for p in tmp_path.iterdir()] == ["in"]
+
+
 def test_compaction(spark, tmp_path):
-    df = spark.createDataFrame(FILES, "file_id bigint, source string, job_id string, artifact string, payload string").withColumn("key", F.lit(1)).withColumn("record", F.lit("x"))
-    assert sorted(r.file_id for r in compaction.redundant_files(df).collect()) == [2, 7, 9, 10, 11, 12]
-    kept = compaction.distinct_records(df).collect()
-    assert len(kept) == 6 and len({r.key for r in kept}) == 6
-    assert compaction.redundant_files(df.limit(0)).count() == 0
     many = str(tmp_path / "many")
     spark.range(1000).withColumn("t", F.col("id").cast("string")).repartition(40).write.parquet(many)
     told = compaction.compact(spark, many, str(tmp_path / "few"), target_bytes=1 << 20)
