@@ -140,7 +140,10 @@ def _keep_classes(root: Node, prefixes: tuple[str, ...]) -> None:
 
 def clean_page(source: str, board: str) -> str:
     """A page without scripts, pictures, blanks and what its board puts around the offer."""
-    root = parse(source)
+    return _cleaned(parse(source), board)
+
+
+def _cleaned(root: Node, board: str) -> str:
     for e in root.walk():
         if e.tag in DROPPED_TAGS:
             e.drop()
@@ -173,6 +176,10 @@ def clean_page(source: str, board: str) -> str:
 
 def to_markdown(cleaned: str, board: str = "") -> str:
     """Markdown of a cleaned page: headings, paragraphs, lists, links, emphasis, code, tables."""
+    return _markdown(parse(cleaned), board)
+
+
+def _markdown(tree: Node, board: str) -> str:
     out: list[str] = []
 
     def inline(n: Node) -> str:
@@ -234,20 +241,22 @@ def to_markdown(cleaned: str, board: str = "") -> str:
                 block(c, depth)
         flush()
 
-    block(parse(cleaned))
+    block(tree)
     text = "".join(out).replace("\r\n", "\n")
     if board == "jji":
         text = "\n".join(x for x in text.split("\n") if not x.lstrip().startswith(JJI_CONSENT))
     for line in JJI_LINES if board == "jji" else BDJ_LINES if board == "bdj" else ():
         text = text.replace(line, "")
-    text = "\n".join(x.strip(" ") for x in text.split("\n"))
-    return re.sub(r"(\n[ \t]*\n)(?:[ \t]*\n)+", r"\1", text)
+    lines = [x.strip(" ") for x in text.split("\n")]
+    blank = [not x.strip(" \t") for x in lines]
+    # the second and later of empty lines in a row go, but for one at either end of the text
+    return "\n".join(x for k, x in enumerate(lines) if not (1 < k < len(lines) - 1 and blank[k] and blank[k - 1]))
 
 
-def embedded(source: str, kind: str) -> list[str]:
-    """The JSON of all scripts of a type; what doesn't parse is {}."""
+def embedded(root: Node, kind: str) -> list[str]:
+    """The JSON of all scripts of a type in a page; what doesn't parse is {}."""
     out = []
-    for e in parse(source).walk():
+    for e in root.walk():
         if e.tag == "script" and e.attrs.get("type") == kind:
             try:
                 json.loads(e.all_text())
@@ -257,24 +266,45 @@ def embedded(source: str, kind: str) -> list[str]:
     return out
 
 
-PAGE = "clean string, md string, n_paragraphs int, ld_json array<string>, app_json array<string>"
+# fixed values: wordings before the last day of an offer
+ENDS = ("Valid for", "Ważna do")
+
+
+def page_end(root: Node) -> str | None:
+    """The last day of an offer as its page tells it: the first paragraph of the div that
+    follows a paragraph that begins with one of ENDS; of several the last."""
+    out = None
+    for e in root.walk():
+        if e.tag == "p" and e.all_text().startswith(ENDS):
+            after = [c for c in e.parent.children if c.tag not in (None, "!")]
+            k = next(i for i, c in enumerate(after) if c is e) + 1
+            if k < len(after) and after[k].tag == "div":
+                out = next((p.all_text().strip() for p in after[k].walk() if p.tag == "p"), "")
+    return out
+
+
+PAGE = "clean string, md string, n_paragraphs int, ends string, ld_json array<string>, app_json array<string>"
 
 
 def read_page(page: Column, board: Column) -> Column:
-    """One pass over a page: its cleaned html, Markdown, paragraphs and embedded JSON."""
+    """One pass over a page: its cleaned html, Markdown, paragraphs, last day and embedded JSON."""
     return F.pandas_udf(_read_pages, PAGE)(page, board)
 
 
 def _read_pages(pages: pd.Series, boards: pd.Series) -> pd.DataFrame:
-    """Cleaned page, Markdown, paragraphs and embedded JSON. Null pages give nulls."""
+    """The fields of PAGE. The page and its cleaned form are parsed once each. Null pages give
+    nulls."""
     rows = []
     for source, board in zip(pages, boards):
         if not isinstance(source, str):
-            rows.append((None, None, None, None, None))
+            rows.append((None,) * 6)
             continue
-        cleaned = clean_page(source, board)
-        rows.append((cleaned, to_markdown(cleaned, board), sum(e.tag == "p" for e in parse(cleaned).walk()), embedded(source, "application/ld+json"), embedded(source, "application/json")))
-    return pd.DataFrame(rows, columns=["clean", "md", "n_paragraphs", "ld_json", "app_json"])
+        raw = parse(source)
+        ld, app = embedded(raw, "application/ld+json"), embedded(raw, "application/json")
+        cleaned = _cleaned(raw, board)
+        tree = parse(cleaned)
+        rows.append((cleaned, _markdown(tree, board), sum(e.tag == "p" for e in tree.walk()), page_end(tree), ld, app))
+    return pd.DataFrame(rows, columns=["clean", "md", "n_paragraphs", "ends", "ld_json", "app_json"])
 
 
 def scripts(c: Column, kind: str) -> Column:

@@ -4,6 +4,8 @@ Unless said otherwise null in gives null out, and empty texts are ordinary value
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -124,8 +126,23 @@ def js_number(c: Column) -> Column:
 
 def collapse_blank_lines(c: Column) -> Column:
     """LF line ends, no blanks at the ends of lines, runs of empty lines as one."""
-    lines = F.regexp_replace(F.regexp_replace(c, "\r\n", "\n"), "(?m)^ +| +$", "")
-    return F.regexp_replace(lines, "(\n[ \t]*\n)(?:[ \t]*\n)+", "$1")
+    lines = F.transform(F.split(F.replace(c, F.lit("\r\n"), F.lit("\n")), "\n", -1), lambda x: F.trim(x))
+    blank = lambda i: F.rtrim(F.replace(F.get(lines, i), F.lit("\t"), F.lit(" "))) == ""
+    last = F.size(lines) - 1
+    return F.array_join(F.filter(lines, lambda x, i: ~((i > 1) & (i < last) & blank(i) & blank(i - 1))), "\n")
+
+
+def header_key(c: Column) -> Column:
+    """A table heading as a key: trimmed, lower case, runs of white space as one underscore."""
+    return F.regexp_replace(F.lower(trim_all(c)), r"\s+", "_")
+
+
+def offer_path(url: Column, folder: str = "/companies/jobs/", old: str = ".com", new: str = ".pl") -> Column:
+    """A link of a listing as the url of an offer: below ``folder``, with a numbered name that is
+    not a search, without query and fragment, on the board's present domain. Null for others."""
+    bare = F.regexp_replace(trim_all(url), r"[?#].*$", "")
+    name = F.regexp_extract(bare, rf"^https?://[^/]+{folder}(.+)$", 1)
+    return F.when(name.rlike(r"^\d+-") & ~name.startswith("s/"), F.regexp_replace(bare, rf"^(https?://[^/]+){re.escape(old)}/", rf"$1{new}/"))
 
 
 def clamp(c: Column, low: float, high: float) -> Column:

@@ -75,6 +75,10 @@ class Reader:
         self._need(path, "BOOLEAN")
         return flag(self.v, path)
 
+    def number(self, path: str) -> Column:
+        self._need(path, "NUMBER")
+        return number(self.v, path)
+
     def optional_text(self, path: str) -> Column:
         """Missing is null; another kind than text is an error."""
         k = kind(get(self.v, path))

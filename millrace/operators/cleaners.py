@@ -139,6 +139,13 @@ def bdj_parts(crossed: bool = True) -> Parts:
     low = F.when(money.contains("-"), F.trim(F.get(F.split(money, "-"), F.lit(0)))).when(F.lower(money).startswith("from"), F.substring(money, 5, 1000))
     high = F.when(money.contains("-"), F.trim(F.get(F.split(money, "-"), F.lit(1))))
     b2b, coe = F.coalesce(flags[0][0], F.lit(False)), F.coalesce(flags[1][0], F.lit(False))
+    # pay is read where a contract asks for it, and then strictly
+    pay = V.kind(V.get(v, "denominatedSalaryLong.money"))
+    there = pay.isNotNull() & (pay != "NULL") & ~((pay == "STRING") & (V.text(v, "denominatedSalaryLong.money") == "")) & ~((pay == "ARRAY") & (F.size(V.items(v, "denominatedSalaryLong.money")) == 0))
+    coin = V.kind(V.get(v, "denominatedSalaryLong.currency"))
+    r.check((b2b | coe) & there & (pay != "STRING"), '"denominatedSalaryLong.money" is not string')
+    r.check((b2b | coe) & there & coin.isNull(), 'No entry at path "currency"')
+    r.check((b2b | coe) & there & (coin != "STRING"), '"denominatedSalaryLong.currency" is not string')
     for name, own in (("salaryCoE", b2b if crossed else coe), ("salaryB2B", coe if crossed else b2b)):
         for leaf, c in (("from", low), ("to", high), ("currency", V.text(v, "denominatedSalaryLong.currency")), ("unit", F.lit("month"))):
             values[f"{name}.{leaf}"] = F.when(own & money.isNotNull(), c)
@@ -159,20 +166,32 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def clean_meta(df: DataFrame, now: Column) -> DataFrame:
-    """Adds ``meta``: published, expires, updated, canonical url and alternates of an offer,
-    from its record ``v``, page text ``md`` and own ``url``. Times are ISO texts.
-
-    A record without an end (bdj) expires 31 days from ``now``."""
-    v = F.col("v")
+    """Adds ``meta`` (published, expires, updated, canonical url and alternates of an offer) and
+    ``meta_error`` (the first rule that is broken, null if none), from its record ``v``, its
+    ``page`` and own ``url``. Times are ISO texts.
+
+    jji tells both times in its record and nfj when it was posted; a record without them is an
+    error. bdj tells them in the state embedded in its page, the end also as a paragraph of the
+    page, which goes first; without an end it expires 31 days from ``now``."""
+    v, url, md = F.col("v"), F.col("url"), F.coalesce(F.col("page.md"), F.lit(""))
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
     slugs = F.transform(V.items(v, "location.places"), lambda p: V.text(p, "url"))
-    until = X.dmy_to_iso(F.regexp_extract(F.coalesce(F.col("md"), F.lit("")), r"(?m)^- Offer valid until: (\S+)", 1))
-    today = F.when(F.coalesce(F.col("md"), F.lit("")).rlike(r"(?m)^- Offer expires today$"), F.date_format(now, "yyyy-MM-dd'T'23:59:ss.SSS'Z'"))
-    nfj = F.struct(
-        X.millis_to_iso(V.number(v, "posted").cast("bigint")).alias("published_at"), F.coalesce(today, F.concat(until, F.lit("T00:00:00.000Z"))).alias("expires_at"),
-        X.millis_to_iso(V.number(v, "renewed").cast("bigint")).alias("updated_at"), X.with_slug(F.col("url"), X.canonical_slug(slugs)).alias("canonical_url"), F.transform(slugs, lambda s: X.with_slug(F.col("url"), s)).alias("alternate_urls"),
-    )
-    none = F.lit(None).cast("string")
-    jji = F.struct(V.text(v, "publishedAt").alias("published_at"), V.text(v, "expiredAt").alias("expires_at"), none.alias("updated_at"), F.col("url").alias("canonical_url"), F.array().cast("array<string>").alias("alternate_urls"))
-    late = F.date_format(F.timestamp_add("DAY", F.lit(31), now), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    bdj = F.struct(V.text(v, "publishedAt").alias("published_at"), F.coalesce(V.text(v, "endsAt"), late).alias("expires_at"), none.alias("updated_at"), F.col("url").alias("canonical_url"), F.array().cast("array<string>").alias("alternate_urls"))
-    return df.withColumn("meta", F.when(F.col("source") == "nfj", nfj).when(F.col("source") == "jji", jji).when(F.col("source") == "bdj", bdj))
+    until = X.dmy_to_iso(F.get(F.filter(F.split(F.regexp_extract(md, r"(?m)^- Offer valid until: (.+)$", 1), " "), lambda w: w.contains(".")), F.lit(0)))
+    today = F.when(md.rlike(r"(?m)^- Offer expires today$"), F.date_format(now, "yyyy-MM-dd'T'23:59:ss.SSS'Z'"))
+    midnight = lambda day: F.concat(day, F.lit("T00:00:00.000Z"))
+    none, alone = F.lit(None).cast("string"), F.array().cast("array<string>")
+    row = lambda a, b, c, d, e: F.struct(a.alias("published_at"), b.alias("expires_at"), c.alias("updated_at"), d.alias("canonical_url"), e.alias("alternate_urls"))
+    nfj = row(X.millis_to_iso(V.number(v, "posted").cast("bigint")), F.coalesce(today, midnight(until)), X.millis_to_iso(V.number(v, "renewed").cast("bigint")), X.with_slug(url, X.canonical_slug(slugs)), F.transform(slugs, lambda s: X.with_slug(url, s)))
+    jji = row(V.text(v, "publishedAt"), V.text(v, "expiredAt"), none, url, alone)
+    state = F.try_parse_json(F.get(F.col("page.app_json"), F.lit(0)))
+    told = lambda leaf: F.nullif(V.text(state, f"props.pageProps.data.job.{leaf}"), F.lit(""))
+    late = F.date_format(F.timestamp_add("DAY", F.lit(31), now), stamp)
+    bdj = row(told("publishedAt"), F.coalesce(midnight(X.dmy_to_iso(F.col("page.ends"))), told("endsAt"), late), none, url, alone)
+    jji_error, nfj_error = V.Reader(v), V.Reader(v)
+    jji_error.text("publishedAt")
+    jji_error.text("expiredAt")
+    nfj_error.number("posted")
+    return df.withColumns({
+        "meta": F.when(F.col("source") == "nfj", nfj).when(F.col("source") == "jji", jji).when(F.col("source") == "bdj", bdj),
+        "meta_error": F.when(F.col("source") == "jji", jji_error.error()).when(F.col("source") == "nfj", nfj_error.error()),
+    })

@@ -59,6 +59,12 @@ def quality_guard(quality: Column, least: float = 0.4) -> Column:
     return decision(F.when(good, "load").otherwise("quarantine"), "quality", F.when(good, "complete enough").otherwise("not complete enough"))
 
 
+def answer_guard(quality: Column, least: float = 0.5) -> Column:
+    """Answers of an extraction client: too few filled nodes, or no json, are quarantined."""
+    good = F.coalesce(quality >= least, F.lit(False))
+    return decision(F.when(good, "advance").otherwise("quarantine"), "answer-quality", F.when(quality.isNull(), "unreadable answer").when(good, "complete enough").otherwise("not complete enough"))
+
+
 def first_stop(*decisions: Column) -> Column:
     """The first decision that isn't 'advance', else the last."""
     out = decisions[-1]

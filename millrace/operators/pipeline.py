@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import html as H
-from ..sources import artifacts
+from ..sources import listings
 from . import cleaners, guards
 
 
@@ -47,40 +47,66 @@ def stage_order(stages: list[Stage]) -> list[Stage]:
     return done
 
 
-def offers_from_files(files: DataFrame) -> DataFrame:
-    """One row per job from small files: the latest complete json and page. A json that
-    doesn't parse or a page that isn't closed is not complete."""
-    body = F.replace(F.coalesce("payload", F.lit("")), F.lit("\ufeff"), F.lit(""))
-    usable = F.when(F.col("artifact") == "raw.job.json", F.try_parse_json(body).isNotNull()).otherwise(F.rtrim(F.regexp_replace(body, r"[\r\n\t ]+$", "")).endswith("</html>"))
-    long = artifacts.latest(files.where(F.col("job_id").isNotNull()).withColumn("payload", body), usable)
-    return artifacts.wide(long)
-
-
-def run(jobs: DataFrame, now: Column, least_quality: float = 0.4, compat: bool = True) -> DataFrame:
-    """Adds job, meta, quality, error and decision to rows of (job_id, source, json, html).
-
-    A missing artifact advances (waits), an error of a cleaner is quarantined, else the
-    first guard that stops decides, and completeness decides between load and quarantine."""
-    read = jobs.withColumn("v", F.try_parse_json("json")).withColumn("url", F.concat(F.lit("https://"), F.col("source"), F.lit(".example/offer/"), F.col("job_id")))
+def offers_from_files(files: DataFrame, metas: DataFrame | None = None) -> DataFrame:
+    """One row per job from small files: (job_id, source, json, html, json_mtime, html_mtime),
+    and from metadata, if given, url and cache_path of the last scrape.
+
+    Json files give their records, those of files without a job get theirs from the record.
+    The latest complete record and page count; a json that doesn't parse or a page that isn't
+    closed is not complete. Which file that is gets decided without the payloads; they follow
+    by file, so that a job with very many files moves two of them."""
+    is_json = F.col("artifact") == "raw.job.json"
+    saved = listings.file_records(files.where(is_json)).withColumn("ok", F.col("body").isNotNull())
+    saved = saved.withColumn("job_id", F.coalesce("job_id", listings.record_id(F.col("source"), F.try_parse_json("body"))))
+    plain = F.replace("payload", F.lit("\ufeff"), F.lit(""))
+    pages = files.where(F.col("artifact") == "raw.job.html").withColumn("rec_no", F.lit(0)).withColumn("body", plain).drop("payload")
+    pages = pages.withColumn("ok", F.coalesce(F.regexp_replace("body", r"[\r\n\t ]+$", "").endswith("</html>"), F.lit(False)))
+    cols = ["file_id", "rec_no", "job_id", "artifact", "source", "mtime", "ok", "body"]
+    rows = saved.select(*cols).unionByName(pages.select(*cols)).where("job_id is not null")
+    times = rows.drop("body").groupBy("job_id").agg(
+        F.max("source").alias("source"), *[F.max(F.when(F.col("artifact") == a, F.col("mtime"))).alias(f"{n}_mtime") for n, a in (("json", "raw.job.json"), ("html", "raw.job.html"))],
+        F.array_compact(F.array(*[F.max(F.when((F.col("artifact") == a) & F.col("ok"), F.struct("file_id", "rec_no"))) for a in ("raw.job.json", "raw.job.html")])).alias("_at"))
+    wanted = times.select(F.col("job_id").alias("_job"), F.explode("_at").alias("a")).select("_job", "a.file_id", "a.rec_no")
+    got = rows.where("ok").join(wanted, ["file_id", "rec_no"]).where("job_id = _job").groupBy("job_id").agg(*[F.max(F.when(F.col("artifact") == a, F.col("body"))).alias(n) for n, a in (("json", "raw.job.json"), ("html", "raw.job.html"))])
+    out = times.drop("_at").join(got, "job_id", "left")
+    if metas is None:
+        return out
+    last = metas.where("job_id is not null").groupBy("job_id").agg(F.max_by(F.struct("url", "cache_path"), F.struct("scraped_at", "meta_id")).alias("m"))
+    return out.join(last, "job_id", "left").select(*out.columns, "m.url", "m.cache_path")
+
+
+#: the stage whose guard decides, for the record of what went wrong
+STAGES = {"inputs": "select", "clean": "clean-job-json", "content": "clean-html", "not-empty": "clean-html-to-md", "meta": "clean-meta", "duplicate": "clean-meta", "expiration": "clean-meta", "schema": "clean-combine", "quality": "clean-combine"}
+
+
+def run(jobs: DataFrame, now: Column, least_quality: float = 0.4) -> DataFrame:
+    """Adds job, meta, combined, quality, error and decision to rows of (job_id, source, url,
+    json, html).
+
+    A missing artifact or url advances (waits), an error of a cleaner is quarantined, else the
+    first guard that stops decides, and completeness of the combined record decides between
+    load and quarantine."""
+    read = jobs.withColumn("v", F.try_parse_json("json"))
     # cleaned before the page is read: the Python step keeps the optimizer from repeating
     # the whole projection for every field that a guard looks at
     out = cleaners.clean(read).withColumn("page", H.read_page(F.col("html"), F.col("source"))).withColumn("md", F.col("page.md"))
-    out = cleaners.clean_meta(out, now)
-    waiting = F.col("json").isNull() | F.col("html").isNull()
+    out = cleaners.clean_meta(out, now).withColumn("combined", schema.merge(schema.record({}), F.col("job")))
+    waiting = F.col("json").isNull() | F.col("html").isNull() | F.col("url").isNull()
     checked = guards.first_stop(
         guards.decision(F.when(waiting, "wait").otherwise("advance"), "inputs", F.when(waiting, "inputs missing").otherwise("inputs present")),
         guards.decision(F.when(F.col("error").isNotNull(), "quarantine").otherwise("advance"), "clean", F.coalesce("error", F.lit("clean"))),
         guards.content_guard(F.col("page.clean")),
         guards.not_empty_guard(F.col("md")),
-        guards.valid_guard(schema.valid(F.col("job"))),
+        guards.decision(F.when(F.col("meta_error").isNotNull(), "quarantine").otherwise("advance"), "meta", F.coalesce("meta_error", F.lit("clean"))),
         guards.duplicate_guard(F.col("url"), F.col("meta.canonical_url"), F.col("meta.alternate_urls")),
         guards.expiration_guard(F.col("meta.expires_at"), now),
-        guards.quality_guard(schema.quality(F.col("job")), least_quality),
+        guards.valid_guard(schema.valid(F.col("combined"))),
+        guards.quality_guard(schema.quality(F.col("combined")), least_quality),
     )
     keep = [c for c in out.columns if c not in ("page", "v", "json", "html", "md")]
-    done = out.select(*keep, "md", schema.quality(F.col("job")).alias("quality"), checked.alias("_d"))
+    done = out.select(*keep, "md", F.struct(F.col("page.ld_json").alias("ld_json"), F.col("page.app_json").alias("app_json")).alias("html_json"), schema.quality(F.col("combined")).alias("quality"), checked.alias("_d"))
     action = F.when(F.col("_d.action") == "wait", "advance").otherwise(F.col("_d.action"))
-    return done.select(*keep, "md", "quality", F.struct(action.alias("action"), F.col("_d.guard").alias("guard"), F.col("_d.message").alias("message")).alias("decision"))
+    return done.select(*keep, "md", "html_json", "quality", F.struct(action.alias("action"), F.col("_d.guard").alias("guard"), F.col("_d.message").alias("message")).alias("decision"))
 
 
 def enrich(rows: DataFrame, ask: Callable[[str], str], key: str = "job_id", md: str = "md") -> DataFrame:

@@ -47,17 +47,17 @@ def leased(registry: DataFrame, wants: DataFrame, now: Column, prefer: float = 0
     the wanted queue empty takes from the other, the rest get none. The number of a row in
     its queue is counted per partition of the sorted queue, so no queue is in one task."""
     free = evicted(registry, now).where("leased_by is null and status in ('reliable', 'known')")
-    queue = _numbered(free.select("status", "key", F.coalesce("last_used", F.lit(-1)).alias("o")), "status", ["o", "key"])
+    queue = numbered(free.select("status", "key", F.coalesce("last_used", F.lit(-1)).alias("o")), "status", ["o", "key"])
     asks = wants.withColumn("status", F.when(F.col("pick") < prefer, "reliable").otherwise("known"))
-    first = _numbered(asks.select("status", "consumer"), "status", ["consumer"]).join(queue.select("status", "no", "key"), ["status", "no"], "left")
+    first = numbered(asks.select("status", "consumer"), "status", ["consumer"]).join(queue.select("status", "no", "key"), ["status", "no"], "left")
     given = first.where("key is not null").select("consumer", "key")
     rest = first.where("key is null").select("consumer", F.when(F.col("status") == "reliable", "known").otherwise("reliable").alias("status"))
-    left = _numbered(queue.join(given.select("key"), "key", "left_anti").select("status", "key", "o"), "status", ["o", "key"])
-    second = _numbered(rest, "status", ["consumer"]).join(left.select("status", "no", "key"), ["status", "no"], "left").select("consumer", "key")
+    left = numbered(queue.join(given.select("key"), "key", "left_anti").select("status", "key", "o"), "status", ["o", "key"])
+    second = numbered(rest, "status", ["consumer"]).join(left.select("status", "no", "key"), ["status", "no"], "left").select("consumer", "key")
     return given.unionByName(second)
 
 
-def _numbered(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
+def numbered(rows: DataFrame, by: str, order: list[str]) -> DataFrame:
     """Rows numbered from 1 within ``by`` in an order, without one task per group: sorted by
     range, counted per partition, and offset by the counts before."""
     sorted_ = rows.repartitionByRange(*[F.col(c) for c in (by, *order)]).sortWithinPartitions(by, *order).withColumn("_part", F.spark_partition_id())

@@ -26,7 +26,7 @@ r AS (SELECT user_id, user_id::VARCHAR AS key, CASE WHEN user_id % 3 = 0 THEN 'a
 
 def registry_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The registry after customers were sighted under their numbers."""
-    c = table(spark, d, "customer").where("c_custkey <= 300")
+    c = table(spark, d, "customer")
     seen = c.select(F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("source"), (F.lit(NOW - 20 * DAY) + F.col("c_custkey") * 1000).alias("ts"))
     return registry.sighted(_registry(spark, d), seen).select("key", "source", "status", "last_seen")
 
@@ -56,7 +56,7 @@ def json_quality(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (registry_upsert, registry_stale, registry_lease, select_sources, json_quality)}
 SQL = {
-    "registry_upsert": f"""{_REG}, s AS (SELECT c_custkey::VARCHAR AS key, c_mktsegment AS source, {NOW - 20 * DAY} + c_custkey * 1000 AS ts FROM customer WHERE c_custkey <= 300)
+    "registry_upsert": f"""{_REG}, s AS (SELECT c_custkey::VARCHAR AS key, c_mktsegment AS source, {NOW - 20 * DAY} + c_custkey * 1000 AS ts FROM customer)
 SELECT coalesce(r.key, s.key) AS key, coalesce(r.source, s.source) AS source, coalesce(r.status, 'known') AS status, greatest(r.last_seen, s.ts) AS last_seen FROM r FULL JOIN s ON r.key = s.key""",
     "registry_stale": f"""{_REG} SELECT key, status FROM r WHERE status = 'reliable' OR {NOW} - greatest(coalesce(last_seen, 0), coalesce(last_used, 0)) < {7 * DAY}""",
     "registry_lease": f"""{_REG}, f AS (SELECT status, key, row_number() OVER (PARTITION BY status ORDER BY coalesce(last_used, -1), key) AS no FROM r WHERE (status = 'reliable' OR {NOW} - greatest(coalesce(last_seen, 0), coalesce(last_used, 0)) < {7 * DAY}) AND leased_by IS NULL AND status IN ('reliable', 'known')),

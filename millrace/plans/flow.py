@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import text as X
 from ..functions import variant as V
-from ..operators import cleaners, guards, pipeline, state
-from ..session import table
+from ..operators import cleaners, guards, pipeline, registry, sinks, state
+from ..session import shared_dir, table
 from ..sources import listings
 
 QUERIES, SQL = {}, {}
@@ -32,20 +33,27 @@ def _now():
     return F.lit(NOW).cast("timestamp")
 
 
+def _json_files(spark, d):
+    """The listing records of all json files, those of several jobs among them, repeated rows once."""
+    f = table(spark, d, "raw_file").where("artifact = 'raw.job.json'").select("file_id", "source", "payload").dropDuplicates(["file_id"])
+    return listings.file_records(f).withColumn("v", F.try_parse_json("body")).drop("body")
+
+
 def _records(spark, d, source):
-    """Listing records of a board as VARIANT, repeated rows once."""
-    f = table(spark, d, "raw_file").where(f"artifact = 'raw.job.json' and job_id is not null and source = '{source}'").select("file_id", "source", "job_id", "payload").distinct()
-    return f.withColumn("v", F.try_parse_json(F.replace("payload", F.lit("\ufeff"), F.lit("")))).drop("payload")
+    return _json_files(spark, d).where(F.col("source") == source)
 
 
-_J = "CASE WHEN json_valid(replace(payload, chr(65279), '')) THEN replace(payload, chr(65279), '')::JSON END"
-_REC = "SELECT DISTINCT file_id, {0} AS j FROM raw_file WHERE artifact = 'raw.job.json' AND job_id IS NOT NULL AND source = '{1}'"
+# the records of a file: elements of an array, lines that are records, else the whole
+_ROWS = """SELECT file_id, source, generate_subscripts(js, 1) - 1 AS rec_no, unnest(js) AS j FROM (SELECT file_id, source, CASE WHEN json_valid(p) THEN (CASE WHEN json_type(p) = 'ARRAY' THEN json_extract(p, '$[*]') ELSE [p::JSON] END)
+ WHEN json_valid(ls[1]) THEN list_transform(ls, lambda x: CASE WHEN json_valid(x) THEN x::JSON END) ELSE [NULL::JSON] END AS js
+ FROM (SELECT *, list_filter(string_split_regex(p, '\r?\n'), lambda x: trim(x) <> '') AS ls FROM (SELECT DISTINCT file_id, source, replace(payload, chr(65279), '') AS p FROM raw_file WHERE artifact = 'raw.job.json')))"""
 
 
 def _rec(source: str) -> str:
-    return _REC.replace("{0}", _J).replace("{1}", source)
+    return f"SELECT * FROM ({_ROWS}) WHERE source = '{source}'"
 
 
+_J = "CASE WHEN json_valid(replace(payload, chr(65279), '')) THEN replace(payload, chr(65279), '')::JSON END"
 _LEVEL = "CASE WHEN {0} = 'trainee' THEN 'intern' WHEN {0} IN ('medium', 'mid') THEN 'regular' WHEN {0} = 'c_level' THEN 'c-level' ELSE nullif({0}, '') END"
 _KIND = "CASE WHEN lower({0}) IN ('b2b', 'b2b/contractor') THEN 'b2b/contractor' WHEN lower({0}) IN ('permanent', 'employment', 'uop') THEN 'employment' WHEN {0} IS NOT NULL THEN 'other' END"
 _DEDUP = "array_to_string(list_filter({0}, lambda x, i: list_position(list_transform({0}, lambda y: lower(y)), lower(x)) = i), '|')"
@@ -54,7 +62,7 @@ _DEDUP = "array_to_string(list_filter({0}, lambda x, i: list_position(list_trans
 def _flat(df: DataFrame) -> DataFrame:
     j = F.col("job")
     return df.select(
-        "file_id", F.col("error").isNotNull().alias("broken"), j["employer"]["name"].alias("name"), j["role"]["title"].alias("title"), j["role"]["seniority"].alias("level"), j["role"]["scope"].alias("scope"),
+        "file_id", "rec_no", F.col("error").isNotNull().alias("broken"), j["employer"]["name"].alias("name"), j["role"]["title"].alias("title"), j["role"]["seniority"].alias("level"), j["role"]["scope"].alias("scope"),
         j["workplace"]["isRemote"].cast("string").alias("remote"), F.array_join(j["workplace"]["cities"], "|").alias("cities"), F.array_join(j["contract"]["type"], "|").alias("contracts"),
         F.concat_ws("/", *[F.coalesce(j["salaryCoE"][x], F.lit("")) for x in ("from", "to", "currency", "unit")]).alias("coe"), F.concat_ws("/", *[F.coalesce(j["salaryB2B"][x], F.lit("")) for x in ("from", "to", "currency", "unit")]).alias("b2b"),
         F.array_join(j["reqTechnology"], "|").alias("required"), F.array_join(j["optTechnology"], "|").alias("optional"))
@@ -67,7 +75,7 @@ f AS (SELECT *, list_transform(es, lambda x: {_KIND.replace('{0}', "(x->>'type')
  list_transform(json_extract(j, '$.niceToHaveSkills[*]'), lambda x: trim(x->>'$')) AS o,
  lower(trim(j->>'workplaceType')) AS w, lower(trim(coalesce(j->>'experienceLevel', ''))) AS l FROM e),
 g AS (SELECT *, list_filter(s, lambda x: x IS NOT NULL AND x <> '') AS s2, list_filter(o, lambda x: x IS NOT NULL AND x <> '') AS o2, list_transform(json_extract(j, '$.multilocation[*]'), lambda x: x->>'city') AS cs FROM f)
-SELECT file_id, j IS NULL AS broken, j->>'companyName' AS name, j->>'title' AS title, {_LEVEL.replace('{0}', 'l')} AS level, NULL::VARCHAR AS scope, (w = 'remote')::VARCHAR AS remote,
+SELECT file_id, rec_no, j IS NULL AS broken, j->>'companyName' AS name, j->>'title' AS title, {_LEVEL.replace('{0}', 'l')} AS level, NULL::VARCHAR AS scope, (w = 'remote')::VARCHAR AS remote,
  {_DEDUP.replace('{0}', 'cs')} AS cities, CASE WHEN j IS NOT NULL THEN {_DEDUP.replace('{0}', 'ks')} END AS contracts,
  concat(coalesce(c->>'from', ''), '/', coalesce(c->>'to', ''), '/', coalesce(c->>'currency', ''), '/', coalesce(lower(c->>'unit'), '')) AS coe,
  concat(coalesce(b->>'from', ''), '/', coalesce(b->>'to', ''), '/', coalesce(b->>'currency', ''), '/', coalesce(lower(b->>'unit'), '')) AS b2b,
@@ -84,7 +92,7 @@ f AS (SELECT *, {_KIND.replace('{0}', "nullif(j->>'$.salary.type', '')")} AS k,
  lower(trim(array_to_string(list_transform(json_extract(j, '$.seniority[*]'), lambda x: trim(x->>'$')), ', '))) AS l FROM r),
 g AS (SELECT *, CASE WHEN p IN ('m', 'month') THEN 'month' WHEN p IN ('h', 'hour') THEN 'hour' WHEN p IN ('y', 'year') THEN 'year' ELSE coalesce(nullif(p, ''), 'month') END AS u, json_type(j, '$.salary') = 'OBJECT' AS pay FROM f),
 h AS (SELECT *, concat(coalesce(lo, ''), '/', coalesce(hi, ''), '/', coalesce(j->>'$.salary.currency', ''), '/', u) AS full_ FROM g)
-SELECT file_id, j IS NULL AS broken, j->>'name' AS name, j->>'title' AS title, {_LEVEL.replace('{0}', 'l')} AS level, NULL::VARCHAR AS scope,
+SELECT file_id, rec_no, j IS NULL AS broken, j->>'name' AS name, j->>'title' AS title, {_LEVEL.replace('{0}', 'l')} AS level, NULL::VARCHAR AS scope,
  CASE WHEN j IS NOT NULL THEN coalesce((j->>'$.location.fullyRemote')::BOOLEAN, false) OR coalesce((j->>'fullyRemote')::BOOLEAN, false) END::VARCHAR AS remote, CASE WHEN j IS NOT NULL THEN {_DEDUP.replace('{0}', 'cs')} END AS cities,
  CASE WHEN j IS NOT NULL THEN CASE WHEN pay AND k IS NOT NULL THEN k ELSE '' END END AS contracts, CASE WHEN j IS NOT NULL AND coalesce(pay, false) AND coalesce(k, '') <> 'b2b/contractor' THEN full_ ELSE '///' END AS coe, CASE WHEN j IS NOT NULL AND coalesce(pay, false) AND coalesce(k, '') <> 'employment' THEN full_ ELSE '///' END AS b2b,
  CASE WHEN j IS NOT NULL THEN {_DEDUP.replace('{0}', 's')} END AS required, CASE WHEN j IS NOT NULL THEN '' END AS optional FROM h""")
@@ -96,7 +104,7 @@ def clean_nfj(spark: SparkSession, d: str) -> DataFrame:
 f AS (SELECT *, replace(lower(j->>'employmentType'), '_', '-') AS sc, coalesce((j->>'contractOther')::BOOLEAN, false) AS ot, coalesce((j->>'contractB2b')::BOOLEAN, false) AS b, coalesce((j->>'contractEmployment')::BOOLEAN, false) AS c,
  nullif(j->>'$.denominatedSalaryLong.money', '') AS m, lower(trim(j->>'experienceLevel')) AS l, list_filter(list_transform(json_extract(j, '$.technologyTags[*]'), lambda x: trim(x->>'$')), lambda x: x <> '') AS s FROM r),
 g AS (SELECT *, concat(coalesce(CASE WHEN contains(m, '-') THEN trim(split_part(m, '-', 1)) WHEN starts_with(lower(m), 'from') THEN substr(m, 5) END, ''), '/', coalesce(CASE WHEN contains(m, '-') THEN trim(split_part(m, '-', 2)) END, ''), '/', coalesce(j->>'$.denominatedSalaryLong.currency', ''), '/month') AS full_ FROM f)
-SELECT file_id, j IS NULL AS broken, j->>'$.company.name' AS name, j->>'position' AS title, {_LEVEL.replace('{0}', 'l')} AS level,
+SELECT file_id, rec_no, j IS NULL AS broken, j->>'$.company.name' AS name, j->>'position' AS title, {_LEVEL.replace('{0}', 'l')} AS level,
  CASE WHEN sc = 'freelance' OR (sc = 'contractor' AND ot) THEN 'project' WHEN sc = 'contractor' THEN 'full-time' ELSE sc END AS scope, (j->>'remote')::BOOLEAN::VARCHAR AS remote, j->>'city' AS cities,
  CASE WHEN j IS NOT NULL THEN array_to_string(list_filter([CASE WHEN b THEN 'b2b/contractor' END, CASE WHEN c THEN 'employment' END, CASE WHEN ot THEN 'other' END], lambda x: x IS NOT NULL), '|') END AS contracts,
  CASE WHEN j IS NOT NULL AND b AND m IS NOT NULL THEN full_ ELSE '///' END AS coe, CASE WHEN j IS NOT NULL AND c AND m IS NOT NULL THEN full_ ELSE '///' END AS b2b,
@@ -105,11 +113,10 @@ def clean_bdj(spark: SparkSession, d: str) -> DataFrame:
     return _flat(cleaners.clean_bdj(_records(spark, d, "bdj")))
 
 
-@query(f"""SELECT source, count(*) AS n, count(*) FILTER (source = 'ptc' OR j IS NULL) AS n_error, count(*) FILTER (source = 'ptc') AS n_unknown FROM (SELECT DISTINCT file_id, source, {_J} AS j FROM raw_file WHERE artifact = 'raw.job.json' AND job_id IS NOT NULL) GROUP BY source""")
+@query(f"""SELECT source, count(*) AS n, count(*) FILTER (source = 'ptc' OR j IS NULL) AS n_error, count(*) FILTER (source = 'ptc') AS n_unknown FROM ({_ROWS}) GROUP BY source""")
 def source_dispatch(spark: SparkSession, d: str) -> DataFrame:
     """Rows go to their source's cleaner; sources without one are errors."""
-    f = table(spark, d, "raw_file").where("artifact = 'raw.job.json' and job_id is not null").select("file_id", "source", "payload").distinct()
-    out = cleaners.clean(f.withColumn("v", F.try_parse_json(F.replace("payload", F.lit("\ufeff"), F.lit("")))))
+    out = cleaners.clean(_json_files(spark, d))
     return out.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("n_error"), F.count_if(F.col("error") == "no transformation for source").alias("n_unknown"))
 
 
@@ -172,21 +179,29 @@ def dedup_guard(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "offer_meta").select("meta_id", guards.duplicate_guard(F.col("url"), F.col("canonical_url"), F.col("alternate_urls"))["action"].alias("action")).distinct()
 
 
-@query(r"""SELECT DISTINCT meta_id, CASE WHEN expires_at IS NULL THEN 'quarantine' WHEN replace(replace(expires_at, 'T', ' '), 'Z', '')::TIMESTAMP <= TIMESTAMP '2026-01-01' THEN 'trash' ELSE 'advance' END AS action FROM offer_meta WHERE expires_at IS NULL OR regexp_matches(expires_at, '^20\d\d-(0[1-9]|1[0-2])-([01]\d|2[0-8])T\d\d:\d\d:\d\dZ$')""")
+@query()
 def expiration_guard(spark: SparkSession, d: str) -> DataFrame:
-    """Expired, fresh and missing ends among those in plain UTC."""
-    plain = F.col("expires_at").isNull() | F.col("expires_at").rlike(r"^20\d\d-(0[1-9]|1[0-2])-([01]\d|2[0-8])T\d\d:\d\d:\d\dZ$")
-    return table(spark, d, "offer_meta").where(plain).select("meta_id", guards.expiration_guard(F.col("expires_at"), _now())["action"].alias("action")).distinct()
+    """Expired, fresh and missing ends of all offers; ends in forms that can't be read count as
+    fresh, which no SQL reads alike."""
+    return table(spark, d, "offer_meta").select("meta_id", guards.expiration_guard(F.col("expires_at"), _now())["action"].alias("action")).distinct()
+
+
+def _jobs(spark, d):
+    return pipeline.offers_from_files(table(spark, d, "raw_file"), table(spark, d, "offer_meta"))
 
 
 @query()
 def pipeline_routes(spark: SparkSession, d: str) -> DataFrame:
     """The whole flow on all files: routes with their reasons, per source."""
-    done = pipeline.run(pipeline.offers_from_files(table(spark, d, "raw_file")), _now())
+    done = pipeline.run(_jobs(spark, d), _now())
     return done.groupBy("source", "decision.action", "decision.guard", "decision.message").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("quality"), 4).alias("mean_quality"))
 
 
-@query(f"""WITH t AS (SELECT job_id, max(source) AS source, count(*) FILTER (artifact = 'raw.job.json' AND {_J} IS NOT NULL) > 0 AS js, count(*) FILTER (artifact = 'raw.job.html' AND regexp_matches(replace(coalesce(payload, ''), chr(65279), ''), '</html>[\\r\\n\\t ]*$')) > 0 AS ht FROM raw_file WHERE job_id IS NOT NULL GROUP BY job_id)
+_KEYS = f"""SELECT coalesce(f.job_id, CASE WHEN r.source = 'jji' THEN 'jji-' || nullif(r.j->>'guid', '') ELSE r.source || '-' || nullif(r.j->>'id', '') END) AS job_id, r.source, 'json' AS kind, r.j IS NOT NULL AS ok FROM ({_ROWS}) r JOIN (SELECT DISTINCT file_id, job_id FROM raw_file) f USING (file_id)
+UNION ALL SELECT job_id, source, 'html', regexp_matches(replace(coalesce(payload, ''), chr(65279), ''), '</html>[\\r\\n\\t ]*$') FROM raw_file WHERE artifact = 'raw.job.html'"""
+
+
+@query(f"""WITH t AS (SELECT job_id, max(source) AS source, bool_or(ok AND kind = 'json') AS js, bool_or(ok AND kind = 'html') AS ht FROM ({_KEYS}) WHERE job_id IS NOT NULL GROUP BY job_id)
 SELECT source, count(*) AS n, count(*) FILTER (js AND ht) AS n_both, count(*) FILTER (js AND NOT ht) AS n_json, count(*) FILTER (ht AND NOT js) AS n_html FROM t GROUP BY source""")
 def artifact_join(spark: SparkSession, d: str) -> DataFrame:
     """Jobs whose artifacts are all there, and those that wait."""
@@ -288,7 +303,7 @@ def listing_records(spark: SparkSession, d: str) -> DataFrame:
     return listings.records(pages, "body", "jji").select("r_name", "page", "pos", V.text(F.col("record"), "n_name").alias("name"))
 
 
-@query("""SELECT line, count(*) AS sources FROM (SELECT DISTINCT source, trim(unnest(string_split(file_path, '/'))) AS line FROM raw_file) WHERE line <> '' AND NOT contains(line, '.') AND length(line) < 12 GROUP BY line""")
+@query("""SELECT line, count(*) AS sources FROM (SELECT DISTINCT source, trim(unnest(string_split(file_path, '/'))) AS line FROM raw_file) WHERE line <> '' GROUP BY line""")
 def line_lists(spark: SparkSession, d: str) -> DataFrame:
     """Plain-text lists of several sources united, each entry once."""
     f = table(spark, d, "raw_file")
@@ -296,14 +311,15 @@ def line_lists(spark: SparkSession, d: str) -> DataFrame:
     both = lists[0]
     for x in lists[1:]:
         both = both.unionByName(x)
-    return both.where(~F.col("line").contains(".") & (F.length("line") < 12)).groupBy("line").agg(F.count(F.lit(1)).alias("sources"))
+    return both.groupBy("line").agg(F.count(F.lit(1)).alias("sources"))
 
 
 @query("""SELECT job_id, last_change, rank FROM (SELECT job_id, max(mtime) AS last_change, row_number() OVER (ORDER BY max(mtime), job_id) AS rank FROM raw_file WHERE job_id IS NOT NULL GROUP BY job_id HAVING max(mtime) < TIMESTAMP '2025-06-01')""")
 def stalled_jobs(spark: SparkSession, d: str) -> DataFrame:
     """Jobs that haven't changed for long, the oldest first."""
     t = table(spark, d, "raw_file").where("job_id is not null").groupBy("job_id").agg(F.max("mtime").alias("last_change")).where(F.col("last_change") < F.lit("2025-06-01 00:00:00").cast("timestamp_ntz"))
-    return t.withColumn("rank", F.row_number().over(Window.orderBy("last_change", "job_id")).cast("bigint"))
+    ranked = registry.numbered(t.withColumn("all", F.lit(0)), "all", ["last_change", "job_id"])
+    return ranked.select("job_id", "last_change", F.col("no").cast("bigint").alias("rank"))
 
 
 @query()
@@ -316,4 +332,65 @@ def enrich_stub(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").where("text is not null").select(F.col("doc_id"), F.col("text").alias("md"))
     out = pipeline.enrich(rows, ask, "doc_id")
     v = F.try_parse_json("answer")
-    return out.withColumn("v", v).select("doc_id", V.number(F.col("v"), "length").cast("bigint").alias("n"), V.flag(F.col("v"), "offer").alias("offer"))
+    return out.withColumn("v", v).select("doc_id", V.number(F.col("v"), "length").cast("bigint").alias("n"), V.flag(F.col("v"), "offer").alias("offer"), guards.answer_guard(registry.json_quality(F.col("answer")))["action"].alias("action"))
+
+
+def _root(spark) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/areas/{uuid.uuid4().hex}"
+
+
+@query()
+def pipeline_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """The flow's routes as written: per area the jobs and those with an error record, and what a
+    second run over the same input had to write, which is nothing."""
+    root = _root(spark)
+    done = pipeline.run(_jobs(spark, d), _now()).select("job_id", "source", F.to_json("combined").alias("record"), "md", "cache_path", "decision")
+    like = sinks.route(done, root, _now(), ["source", "record", "md"])
+    again = sinks.route(done, root, _now(), ["source", "record", "md"])
+    schema_ = done.select("job_id", "source", "record", "md", sinks.error_record(_now()).alias("error"))
+    both = None
+    for area in sinks.AREA.values():
+        own = sinks.stored(spark, f"{root}/{area}", schema_).select(F.lit(area).alias("area"), "source", F.lit(again[area]).alias("rewritten"), "error")
+        both = own if both is None else both.unionByName(own)
+    return both.groupBy("area", "source", "rewritten").agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("n_errors"))
+
+
+@query("""WITH m AS (SELECT job_id, arg_max({'url': url, 'c': canonical_url, 'a': alternate_urls}, (scraped_at, meta_id)) AS m FROM offer_meta WHERE job_id IS NOT NULL GROUP BY job_id)
+SELECT job_id, CASE WHEN coalesce(m.c, '') = '' OR coalesce(len(m.a), 0) = 0 OR m.url IS NOT DISTINCT FROM m.c THEN 'staging' ELSE 'trash' END AS area, CASE WHEN coalesce(m.c, '') = '' OR coalesce(len(m.a), 0) = 0 OR m.url IS NOT DISTINCT FROM m.c THEN NULL ELSE 'clean-meta' END AS stage FROM m""")
+def area_moves(spark: SparkSession, d: str) -> DataFrame:
+    """Where each offer is after all were staged and duplicates then moved to the trash."""
+    root = _root(spark)
+    last = table(spark, d, "offer_meta").where("job_id is not null").groupBy("job_id").agg(F.max_by(F.struct("url", "canonical_url", "alternate_urls"), F.struct("scraped_at", "meta_id")).alias("m")).select("job_id", "m.*")
+    staged = last.select("job_id", "url", guards.decision("advance", "inputs", "inputs missing").alias("decision"))
+    sinks.route(staged, root, _now(), ["url"])
+    judged = last.select("job_id", "url", guards.duplicate_guard(F.col("url"), F.col("canonical_url"), F.col("alternate_urls")).alias("decision"))
+    sinks.route(judged, root, _now(), ["url"])
+    schema_ = judged.select("job_id", "url", sinks.error_record(_now()).alias("error"))
+    both = [sinks.stored(spark, f"{root}/{a}", schema_).select("job_id", F.lit(a).alias("area"), F.col("error.stage").alias("stage")) for a in ("staging", "trash")]
+    return both[0].unionByName(both[1])
+
+
+@query("""SELECT DISTINCT job_id FROM raw_file WHERE job_id IS NOT NULL AND job_id NOT IN (SELECT job_id FROM offer WHERE job_id IS NOT NULL) AND job_id NOT IN (SELECT job_id FROM raw_page WHERE job_id IS NOT NULL) AND job_id NOT IN (SELECT job_id FROM documents WHERE job_id IS NOT NULL)""")
+def publish_write(spark: SparkSession, d: str) -> DataFrame:
+    """The jobs that publishing wrote to staging: those that no area held."""
+    root = _root(spark)
+    new = table(spark, d, "raw_file").where("job_id is not null").select("job_id").distinct()
+    sinks.publish(new, root, {"staging": table(spark, d, "offer"), "trash": table(spark, d, "raw_page"), "load": table(spark, d, "documents")})
+    return sinks.stored(spark, f"{root}/staging", new)
+
+
+@query("""SELECT md5(url) AS cache_key, substr(md5(url), 1, 2) || '/' || substr(md5(url), 3, 2) || '/' || substr(md5(url), 5, 28) || '.cache' AS cache_path, md5(max(html)) AS content_md5 FROM raw_page WHERE url IS NOT NULL GROUP BY url""")
+def cache_write(spark: SparkSession, d: str) -> DataFrame:
+    """The cache after all pages were written to it, by the hash of their url."""
+    path = f"{_root(spark)}/cache"
+    sinks.write_cache(table(spark, d, "raw_page"), path, "url", "html")
+    like = table(spark, d, "raw_page").select(F.col("url").alias("cache_key"), F.col("url").alias("cache_path"), F.col("html").alias("content"))
+    return sinks.stored(spark, path, like).select("cache_key", "cache_path", F.md5("content").alias("content_md5"))
+
+
+@query("""WITH p AS (SELECT (event_id // 100)::BIGINT AS page, count(*) FILTER (event_type = 'error') AS n, max(CASE WHEN event_id % 100 < 50 THEN NULL ELSE 40 + event_id // 1000 END) AS total FROM events GROUP BY 1), t AS (SELECT arg_min(total, page) FILTER (total IS NOT NULL) AS total FROM p), s AS (SELECT min(page) FILTER (n = 0) AS stop FROM p, t WHERE t.total IS NULL OR page <= t.total)
+SELECT page, n FROM p, t, s WHERE (t.total IS NULL OR page <= t.total) AND (s.stop IS NULL OR page < s.stop)""")
+def counted_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages up to the number of pages that the first answer told."""
+    pages = table(spark, d, "events").groupBy(F.expr("event_id div 100").alias("page")).agg(F.count_if(F.col("event_type") == "error").alias("n"), F.max(F.when(F.col("event_id") % 100 >= 50, 40 + F.expr("event_id div 1000"))).alias("total"))
+    return listings.counted_pages(pages, "page", "total", "n").select("page", "n")

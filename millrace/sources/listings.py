@@ -56,3 +56,51 @@ def catalogue(df: DataFrame, source: str) -> DataFrame:
 def embedded_state(pages: DataFrame, html: str, kind: str = "application/json") -> DataFrame:
     """Embedded JSON of pages, one row per script; broken ones are empty objects."""
     return pages.select(*[c for c in pages.columns if c != html], F.posexplode(F.transform(scripts(F.col(html), kind), lambda s: F.when(F.try_parse_json(s).isNotNull(), s).otherwise("{}"))).alias("no", "json"))
+
+
+#: fields that name a record on its board; "id" elsewhere
+IDS = {"jji": "guid"}
+
+
+def file_records(files: DataFrame) -> DataFrame:
+    """(.., rec_no, body): the listing records of landed json files, one row each.
+
+    A file holds one record, an array of them, or one per line. An array gives its elements
+    and a text that opens with a record of its own line gives its lines, what doesn't parse
+    being null; anything else is one record, null if it doesn't parse. Empty arrays have
+    none. A byte-order mark never counts."""
+    text = F.replace("payload", F.lit("\ufeff"), F.lit(""))
+    whole = F.try_parse_json(text)
+    lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != "")
+    elements = F.transform(F.when(V.kind(F.col("_v")) == "ARRAY", F.col("_v").cast("array<variant>")), lambda x: F.to_json(x))
+    read = lambda x: F.when(F.try_parse_json(x).isNotNull(), x)
+    # what parses is the first value of a text, whatever follows it: lines are looked at first
+    by_line = (F.size(lines) > 1) & F.try_parse_json(F.get(lines, F.lit(0))).isNotNull()
+    found = F.when(by_line, F.transform(lines, read)).when(F.col("_v").isNotNull(), F.coalesce(elements, F.array(text))).otherwise(F.array(F.lit(None).cast("string")))
+    kept = [c for c in files.columns if c != "payload"]
+    return files.withColumn("_v", whole).select(*kept, F.posexplode(found).alias("rec_no", "body"))
+
+
+def record_id(source: Column, record: Column) -> Column:
+    """The key of an offer: its board and what names the record there; null where nothing does."""
+    own = F.coalesce(*[F.when(source == b, V.text(record, f)) for b, f in IDS.items()], F.when(~source.isin(*IDS), V.text(record, "id")))
+    return F.concat(source, F.lit("-"), F.nullif(own, F.lit("")))
+
+
+def advertising(name: Column) -> Column:
+    """Records that a board shows as adverts of a chain of shops (fixed value)."""
+    return F.coalesce(name.contains("Żabka Polska"), F.lit(False))
+
+
+def cursor_ends(cursor: Column, after: Column, n_records: Column, most: int = 10_000) -> Column:
+    """Whether a page read at ``cursor`` is the last one: it names no next cursor, the same, or one
+    at the end of what the board gives, or it is empty."""
+    return after.isNull() | (after == cursor) | (after >= most) | (F.coalesce(n_records, F.lit(0)) == 0)
+
+
+def counted_pages(pages: DataFrame, page: str, total: str, n_records: str) -> DataFrame:
+    """The pages up to the number that the first page to tell one tells, and before the first
+    empty one. No number of pages at all means until an empty page."""
+    told = pages.where(F.col(total).isNotNull()).agg(F.min_by(total, page).alias("_total"))
+    inside = pages.join(F.broadcast(told), F.col("_total").isNull() | (F.col(page) <= F.col("_total"))).drop("_total")  # one row
+    return read_until(inside, page, F.coalesce(F.col(n_records), F.lit(0)) == 0)

@@ -104,7 +104,7 @@ def test_page_reader_takes_nulls_and_long_pages(spark):
 
 
 def test_embedded_json():
-    assert H.embedded('<script type="application/json">{"a":1}</script><script type="application/json">{bad</script>', "application/json") == ['{"a":1}', "{}"]
+    assert H.embedded(H.parse('<script type="application/json">{"a":1}</script><script type="application/json">{bad</script>'), "application/json") == ['{"a":1}', "{}"]
 
 
 def test_prompt_and_measures(spark):
