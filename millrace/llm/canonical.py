@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .contamination import INVISIBLE
 
 # fixed values: common synonyms that reference lists seldom hold, by field and entry
@@ -108,13 +109,14 @@ class Vocabulary:
         for w in words:
             for d in _deletions(w, min(reach, allowed(len(w)))):
                 self.index[d].add(w)
+        self.longest = max(map(len, words), default=0) + reach
         self._known: dict[str, list[tuple[str, float]]] = {}
 
     def near(self, token: str) -> list[tuple[str, float]]:
         """(word, similarity) of the words within the edits their length allows."""
         if token in self._known:
             return self._known[token]
-        if len(token) > 60:
+        if len(token) > self.longest:  # more edits than allowed from every word
             return []
         if token in self.words:
             out = {token: 1.0}
@@ -180,34 +182,44 @@ class Reference:
         mine = math.sqrt(sum(self.weight[t] ** 2 for t in name))
         return dot / (mine * math.sqrt(size) or 1.0), got / (total or 1.0)
 
-    def best(self, value: str, least: float = 0.45, explained: float = 0.74) -> int:
-        """The entry meant by a value, -1 if none."""
-        if value in self.known:
-            return self.known[value]
-        own = tokens(value)
+    def wanted(self, own: list[str]) -> list[tuple[str, str]]:
+        """What has to be looked up for a value of these tokens: (kind, word), kind being a token
+        of names or a whole name without gaps."""
+        out = [("token", t) for t in own] + [("whole", "".join(own))]
+        out += [("whole", a + b) for a, b in zip(own, own[1:]) if len(a + b) > 4]  # words split or run together
+        if len(own) > 1:
+            out += [("whole", t) for t in own if len(t) > 6]  # names of several words run together within a longer value
+        return out
+
+    def lookup(self, kind: str, word: str) -> list[tuple[str, float]]:
+        return (self.vocabulary if kind == "token" else self.whole).near(word)
+
+    def rank(self, own: list[str], repaired: dict[tuple[str, str], list[tuple[str, float]]], least: float = 0.45, explained: float = 0.74) -> int:
+        """The entry meant by a value of these tokens, given what each of them may be: the best
+        by soft TF-IDF over repaired tokens or by the value without gaps, of equals the one
+        with more of it explained and the smaller number. -1 if none is good enough."""
         found: list[tuple[float, float, int]] = []
         if own:
-            joined = "".join(own)
-            for w, s in self.whole.near(joined)[:5]:
-                found.append((s + 0.15, 1.0, self.joined[w]))
-            near = {t: dict(self.vocabulary.near(t)) for t in own}
-            for a, b in zip(own, own[1:]):  # words split or run together
-                for w, s in self.whole.near(a + b)[:2]:
-                    if len(a + b) > 4:
-                        found.append((0.8 * s, s, self.joined[w]))
-            for t in own:  # names of several words run together within a longer value
-                for w, s in self.whole.near(t)[:2]:
-                    if len(t) > 6 and len(own) > 1:
-                        found.append((0.75 * s, s, self.joined[w]))
+            found += [(s + 0.15, 1.0, self.joined[w]) for w, s in repaired["whole", "".join(own)]]
+            near = {t: dict(repaired["token", t]) for t in own}
+            for a, b in zip(own, own[1:]):
+                found += [(0.8 * s, s, self.joined[w]) for w, s in repaired.get(("whole", a + b), ()) if len(a + b) > 4]
+            if len(own) > 1:
+                found += [(0.75 * s, s, self.joined[w]) for t in own if len(t) > 6 for w, s in repaired["whole", t]]
             for k in {k for t in near for w in near[t] for k in self.by_token[w]}:
                 cosine, part = self.score(own, self.names[k][0], near)
                 found.append((cosine, part, self.names[k][1]))
         found = [f for f in found if f[0] >= least and f[1] >= explained]
-        out = max(found, key=lambda f: (round(f[0], 9), f[1], -f[2]))[2] if found else -1
-        if len(self.known) > 500_000:
-            self.known.clear()
-        self.known[value] = out
-        return out
+        return max(found, key=lambda f: (round(f[0], 9), f[1], -f[2]))[2] if found else -1
+
+    def best(self, value: str) -> int:
+        """The entry meant by a single value, -1 if none."""
+        if value not in self.known:
+            own = tokens(value)
+            if len(self.known) > 500_000:
+                self.known.clear()
+            self.known[value] = self.rank(own, {x: self.lookup(*x) for x in self.wanted(own)})
+        return self.known[value]
 
 
 def references(canon: DataFrame, most: int = 200_000) -> dict[str, Reference]:
@@ -222,15 +234,62 @@ def references(canon: DataFrame, most: int = 200_000) -> dict[str, Reference]:
     return {f: Reference(f, e) for f, e in by.items()}
 
 
+def repaired_tokens(values: DataFrame, refs: dict[str, Reference]) -> DataFrame:
+    """(field_name, kind, word, near): every distinct token of distinct values (field_name,
+    value), joined to the reference vocabulary by edit distance; ``near`` holds (word,
+    similarity) of all entries in reach. The vocabulary's deletion index stands in for the
+    join's other side, as it is of checked size."""
+
+    def split(batches):
+        for pdf in batches:
+            out = [(f, kind, w) for f, v in zip(pdf.field_name, pdf.value) if f in refs for kind, w in refs[f].wanted(tokens(v)) if w]
+            yield pd.DataFrame(out, columns=["field_name", "kind", "word"]).drop_duplicates()
+
+    def join(batches):
+        for pdf in batches:
+            pdf["near"] = [[{"w": w, "s": s} for w, s in refs[f].lookup(kind, x)] for f, kind, x in zip(pdf.field_name, pdf.kind, pdf.word)]
+            yield pdf
+
+    words = values.mapInPandas(split, "field_name string, kind string, word string").distinct()
+    return words.mapInPandas(join, "field_name string, kind string, word string, near array<struct<w:string,s:double>>")
+
+
+def meant(values: DataFrame, refs: dict[str, Reference]) -> DataFrame:
+    """(field_name, value, canon_id) of distinct values (field_name, value).
+
+    Tokens that some entry is near to are few, as entries are; they come back to the values'
+    tasks as far as each value needs them, by a join on the value's hash."""
+    found = repaired_tokens(values, refs).where(F.size("near") > 0)
+
+    def ask(batches):
+        for pdf in batches:
+            out = [(f, v, kind, w) for f, v in zip(pdf.field_name, pdf.value) if f in refs for kind, w in dict.fromkeys(refs[f].wanted(tokens(v))) if w]
+            yield pd.DataFrame(out, columns=["field_name", "value", "kind", "word"])
+
+    needs = values.mapInPandas(ask, "field_name string, value string, kind string, word string")
+    given = needs.join(found, ["field_name", "kind", "word"]).groupBy("field_name", "value").agg(F.collect_list(F.struct("kind", "word", "near")).alias("got"))
+
+    def rank(batches):
+        for pdf in batches:
+            ids = []
+            for f, v, got in zip(pdf.field_name, pdf.value, pdf.got):
+                known = {(g["kind"], g["word"]): [(n["w"], n["s"]) for n in g["near"]] for g in (got if got is not None else ())}
+                own = tokens(v)
+                ids.append(refs[f].rank(own, {x: known.get(x, []) for x in refs[f].wanted(own)}) if f in refs else -1)
+            yield pdf[["field_name", "value"]].assign(canon_id=pd.Series(ids, index=pdf.index, dtype="int64"))
+
+    return values.join(given, ["field_name", "value"], "left").mapInPandas(rank, "field_name string, value string, canon_id bigint")
+
+
 def map_values(offers: DataFrame, canon: DataFrame, lists: tuple[str, ...] = ("req_technology", "cities"), singles: tuple[str, ...] = ("role_seniority",)) -> DataFrame:
     """(offer_id, field_name, pos, value, canon_id): every value that isn't exactly a
     canonical name, with the entry meant or -1.
 
     Rows with the same offer_id count once (the last ingested). Null lists, null elements
-    and null values give no row, empty and wordless values -1. No shuffle but the one that
-    makes offers unique; a value is worked out once per task."""
+    and null values give no row, empty and wordless values -1. Each distinct value is worked
+    out once, from distinct tokens; a value that a third of all rows hold is one value there,
+    and comes back to its rows by a join that the engine may split."""
     refs = references(canon)
-    names = {f: {r.canon_name for r in canon.where(F.col("field_name") == f).select("canon_name").collect()} for f in refs}
     kept = ["offer_id", *lists, *singles]
     rank = F.struct("ingested_at", F.struct(*kept[1:]))
     once = offers.where("offer_id is not null").groupBy("offer_id").agg(F.max(rank).alias("r")).select("offer_id", *[F.col(f"r.col2.{c}").alias(c) for c in kept[1:]])
@@ -240,17 +299,8 @@ def map_values(offers: DataFrame, canon: DataFrame, lists: tuple[str, ...] = ("r
 
     parts = [elements(f) for f in lists]
     parts += [F.array(F.struct(F.lit(f).alias("field_name"), F.lit(0).alias("pos"), F.col(f).alias("value"))) for f in singles]
-    rows = once.select("offer_id", F.explode(F.concat(*parts)).alias("v")).select("offer_id", "v.*").where("value is not null")
-
-    def run(batches):
-        for pdf in batches:
-            keep, ids = [], []
-            for k, (f, v) in enumerate(zip(pdf.field_name, pdf.value)):
-                if f in refs and v not in names[f]:
-                    keep.append(k)
-                    ids.append(refs[f].best(v))
-            out = pdf.iloc[keep].copy()
-            out["canon_id"] = pd.Series(ids, index=out.index, dtype="int64")
-            yield out
-
-    return rows.mapInPandas(run, "offer_id bigint, field_name string, pos int, value string, canon_id bigint")
+    rows = once.select("offer_id", F.explode(F.concat(*parts)).alias("v")).select("offer_id", "v.*").where(F.col("value").isNotNull() & F.col("field_name").isin(list(refs)))
+    exact = canon.where("canon_name is not null").select("field_name", F.col("canon_name").alias("value")).distinct()
+    rows = rows.join(exact, ["field_name", "value"], "left_anti")
+    values = cut(rows.select("field_name", "value").distinct())
+    return rows.join(meant(values, refs), ["field_name", "value"]).select("offer_id", "field_name", "pos", "value", "canon_id")

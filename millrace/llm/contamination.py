@@ -23,6 +23,21 @@ from pyspark.sql import functions as F
 INVISIBLE = dict.fromkeys([0xAD, 0x34F, 0x61C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF])
 # fixed values: letters that don't decompose into a base letter and an accent
 _FOLD = str.maketrans({"ł": "l", "Ł": "l", "ø": "o", "Ø": "o", "đ": "d", "Đ": "d", "ß": "ss", "æ": "ae", "Æ": "ae", "œ": "oe", "Œ": "oe", "ı": "i", "ħ": "h"})
+_OTHER = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
+_UNSEEN = re.compile("[" + "".join(map(chr, INVISIBLE)) + "]")
+
+
+def _ranges(codes: list[int]) -> str:
+    """A character class of sorted code points."""
+    out, at = [], 0
+    for k in range(1, len(codes) + 1):
+        if k == len(codes) or codes[k] != codes[k - 1] + 1:
+            out.append(f"{chr(codes[at])}-{chr(codes[k - 1])}")
+            at = k
+    return "[" + "".join(out) + "]+"
+
+
+_ACCENT = re.compile(_ranges([c for c in range(0x300, 0x110000) if unicodedata.combining(chr(c))]))
 _INLINE = re.compile(r"</?(?:a|abbr|b|code|em|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<!--.*?-->|</?[a-zA-Z][^<>]*>", re.S)
 _WORD = re.compile(r"[^\W_]+")
@@ -39,8 +54,8 @@ def words(text: str | None) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(INVISIBLE))
-        text = "".join(c for c in text if not unicodedata.combining(c)).translate(_FOLD)
+        text = _ACCENT.sub("", unicodedata.normalize("NFKD", _UNSEEN.sub("", text)))
+        text = _OTHER.sub(lambda m: _FOLD[ord(m[0])], text)
     return _WORD.findall(_MARK.sub("", text).lower())
 
 
@@ -130,20 +145,45 @@ def matches(docs: list[tuple[int, list[str]]], items: Items, least: int) -> Iter
             low = np.where(right, mid + 1, low)
             high = np.where(open_ & ~right, mid, high)
         bounds.append(low)
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for q in np.flatnonzero(bounds[1] > bounds[0]):
-        row = queries[q]
-        for k in range(bounds[0][q], bounds[1][q]):
-            place = inside[order[k]]
-            most = min(items.left[row], run[place])
-            same = items.data[row : row + most] == data[place : place + most]
-            size = int(most if same.all() else same.argmin())
-            key = (int(owner[place]), int(items.item[row]))
-            found = (size, -int(place - begin[owner[place]]), int(items.pos[row]))
-            if found > best.get(key, (0, 0, 0)):
-                best[key] = found
-    for (doc, item), (size, place, pos) in best.items():
-        yield docs[doc][0], item, size, -place, pos
+    found = []
+    low, size = bounds[0], bounds[1] - bounds[0]
+    hit = np.flatnonzero(size > 0)
+    ends = np.cumsum(size[hit])
+    for begin_, end_ in _pieces(ends, 1 << 18):
+        q = np.repeat(hit[begin_:end_], size[hit[begin_:end_]])
+        nth = np.arange(len(q)) - np.repeat(ends[begin_:end_] - size[hit[begin_:end_]] - (ends[begin_ - 1] if begin_ else 0), size[hit[begin_:end_]])
+        place, row = inside[order[low[q] + nth]], queries[q]
+        most = np.minimum(items.left[row], run[place])
+        length = np.full(len(q), least, dtype=np.int64)
+        open_ = np.flatnonzero(length < most)
+        while len(open_):  # a word further where both go on alike
+            same = items.data[row[open_] + length[open_]] == data[place[open_] + length[open_]]
+            open_ = open_[same]
+            length[open_] += 1
+            open_ = open_[length[open_] < most[open_]]
+        found.append(_best(owner[place], items.item[row], length, place - begin[owner[place]], items.pos[row]))
+    if found:
+        for doc, item, words_, place, pos in zip(*_best(*[np.concatenate(c) for c in zip(*found)])):
+            yield docs[doc][0], int(item), int(words_), int(place), int(pos)
+
+
+def _pieces(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of queries with at most ``most`` hits together (more only for a single query)."""
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield at, to
+        at = to
+
+
+def _best(doc, item, length, place, pos):
+    """The longest match per doc and item, of equals the first in the doc, then the last in the item."""
+    order = np.lexsort((-pos, place, -length, item, doc))
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = (doc[order][1:] != doc[order][:-1]) | (item[order][1:] != item[order][:-1])
+    keep = order[first]
+    return doc[keep], item[keep], length[keep], place[keep], pos[keep]
 
 
 def leaks(docs: DataFrame, items: DataFrame, least: int = 12, shard_words: int = 1_000_000, block: int = 20_000) -> DataFrame:
@@ -151,36 +191,33 @@ def leaks(docs: DataFrame, items: DataFrame, least: int = 12, shard_words: int =
     ``least`` consecutive words of an item, with the longest match.
 
     Items travel to the shards in blocks of at most ``block`` items (the stated query
-    set); the corpus is read once per block and never shuffled. Null and empty texts
-    match nothing."""
-    n = max(1, -(-items.count() // block))
+    set), one broadcast each; every shard is searched for block after block, so that the
+    corpus is read, and its words are told, once whatever the number of items, and never
+    shuffled. Null and empty texts match nothing."""
+    context = docs.sparkSession.sparkContext
     part = items.select("item_id", "item_text").where("item_text is not null").distinct()
-    out = None
-    for k in range(n):
-        rows = [(r[0], r[1]) for r in part.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()]
-        own = Items(rows)
-
-        def run(batches, own=own):
-            shard, size = [], 0
-
-            def flush():
-                found = list(matches(shard, own, least))
-                return pd.DataFrame(found, columns=["doc_id", "item_id", "n_words", "doc_word", "item_word"]).astype("int64")
-
-            for pdf in batches:
-                for doc, text in zip(pdf.doc_id, pdf.text):
-                    ws = words(text)
-                    if len(ws) >= least:
-                        shard.append((int(doc), ws))
-                        size += len(ws)
-                    if size >= shard_words:
-                        yield flush()
-                        shard, size = [], 0
-            yield flush()
-
-        one = docs.select("doc_id", "text").where("text is not null").mapInPandas(run, "doc_id bigint, item_id bigint, n_words bigint, doc_word bigint, item_word bigint")
-        out = one if out is None else out.unionByName(one)
-    return out
+    n = max(1, -(-part.count() // block))
+    own = [context.broadcast(Items([(r[0], r[1]) for r in part.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()])) for k in range(n)]
+
+    def run(batches):
+        shard, size = [], 0
+
+        def flush():
+            found = [m for b in own for m in matches(shard, b.value, least)]
+            return pd.DataFrame(found, columns=["doc_id", "item_id", "n_words", "doc_word", "item_word"]).astype("int64")
+
+        for pdf in batches:
+            for doc, text in zip(pdf.doc_id, pdf.text):
+                ws = words(text)
+                if len(ws) >= least:
+                    shard.append((int(doc), ws))
+                    size += len(ws)
+                if size >= shard_words:
+                    yield flush()
+                    shard, size = [], 0
+        yield flush()
+
+    return docs.select("doc_id", "text").where("text is not null").mapInPandas(run, "doc_id bigint, item_id bigint, n_words bigint, doc_word bigint, item_word bigint")
 
 
 def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:

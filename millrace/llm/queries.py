@@ -66,7 +66,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def p9_kept(spark: SparkSession, d: str) -> DataFrame:
     """What is left of the corpus once affected documents are removed."""
     docs = table(spark, d, "documents")
-    return contamination.without_leaks(docs, contamination.leaks(docs, table(spark, d, "eval_item"))).select("doc_id", "source")
+    return contamination.without_leaks(docs, contamination.leaks(spread(docs.select("doc_id", "text")), table(spark, d, "eval_item"))).select("doc_id", "source")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
