@@ -106,7 +106,7 @@ def parts(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def spread(df: DataFrame, split: int = 4 << 20) -> DataFrame:
+def spread(df: DataFrame, split: int = 1 << 20) -> DataFrame:
     """Input smaller than ``split`` bytes per core, by the optimizer's estimate, dealt out anew:
     for row-wise Python over a small table, which may be a single split. Larger tables come
     with splits enough and are left alone. Nothing is run to find out."""
