@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, parts
 from .contamination import INVISIBLE
 
 # fixed values: common synonyms that reference lists seldom hold, by field and entry
@@ -250,7 +250,7 @@ def repaired_tokens(values: DataFrame, refs: dict[str, Reference]) -> DataFrame:
             pdf["near"] = [[{"w": w, "s": s} for w, s in refs[f].lookup(kind, x)] for f, kind, x in zip(pdf.field_name, pdf.kind, pdf.word)]
             yield pdf
 
-    words = values.mapInPandas(split, "field_name string, kind string, word string").distinct()
+    words = values.mapInPandas(split, "field_name string, kind string, word string").repartition(parts(values.sparkSession), "field_name", "kind", "word").distinct()
     return words.mapInPandas(join, "field_name string, kind string, word string, near array<struct<w:string,s:double>>")
 
 
@@ -297,9 +297,9 @@ def map_values(offers: DataFrame, canon: DataFrame, lists: tuple[str, ...] = ("r
     def elements(f: str):
         return F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda v, i: F.struct(F.lit(f).alias("field_name"), i.cast("int").alias("pos"), v.alias("value")))
 
-    parts = [elements(f) for f in lists]
-    parts += [F.array(F.struct(F.lit(f).alias("field_name"), F.lit(0).alias("pos"), F.col(f).alias("value"))) for f in singles]
-    rows = once.select("offer_id", F.explode(F.concat(*parts)).alias("v")).select("offer_id", "v.*").where(F.col("value").isNotNull() & F.col("field_name").isin(list(refs)))
+    own = [elements(f) for f in lists]
+    own += [F.array(F.struct(F.lit(f).alias("field_name"), F.lit(0).alias("pos"), F.col(f).alias("value"))) for f in singles]
+    rows = once.select("offer_id", F.explode(F.concat(*own)).alias("v")).select("offer_id", "v.*").where(F.col("value").isNotNull() & F.col("field_name").isin(list(refs)))
     exact = canon.where("canon_name is not null").select("field_name", F.col("canon_name").alias("value")).distinct()
     rows = rows.join(exact, ["field_name", "value"], "left_anti")
     values = cut(rows.select("field_name", "value").distinct())
