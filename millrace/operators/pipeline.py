@@ -90,7 +90,9 @@ def run(jobs: DataFrame, now: Column, least_quality: float = 0.4) -> DataFrame:
     # cleaned before the page is read: the Python step keeps the optimizer from repeating
     # the whole projection for every field that a guard looks at
     out = cleaners.clean(read).withColumn("page", H.read_page(F.col("html"), F.col("source"))).withColumn("md", F.col("page.md"))
-    out = cleaners.clean_meta(out, now).withColumn("combined", schema.merge(schema.record({}), F.col("job")))
+    # a cleaner's record has every field, so that metadata and record side by side are what
+    # merging both into an empty record would give
+    out = cleaners.clean_meta(out, now).withColumn("combined", F.struct(F.col("meta").alias("offer"), *[F.col(f"job.{g}").alias(g) for g in schema.FIELDS]))
     waiting = F.col("json").isNull() | F.col("html").isNull() | F.col("url").isNull()
     checked = guards.first_stop(
         guards.decision(F.when(waiting, "wait").otherwise("advance"), "inputs", F.when(waiting, "inputs missing").otherwise("inputs present")),
@@ -100,11 +102,11 @@ def run(jobs: DataFrame, now: Column, least_quality: float = 0.4) -> DataFrame:
         guards.decision(F.when(F.col("meta_error").isNotNull(), "quarantine").otherwise("advance"), "meta", F.coalesce("meta_error", F.lit("clean"))),
         guards.duplicate_guard(F.col("url"), F.col("meta.canonical_url"), F.col("meta.alternate_urls")),
         guards.expiration_guard(F.col("meta.expires_at"), now),
-        guards.valid_guard(schema.valid(F.col("combined"))),
-        guards.quality_guard(schema.quality(F.col("combined")), least_quality),
+        guards.valid_guard(schema.valid(F.col("job"))),
+        guards.quality_guard(schema.quality(F.col("job")), least_quality),
     )
     keep = [c for c in out.columns if c not in ("page", "v", "json", "html", "md")]
-    done = out.select(*keep, "md", F.struct(F.col("page.ld_json").alias("ld_json"), F.col("page.app_json").alias("app_json")).alias("html_json"), schema.quality(F.col("combined")).alias("quality"), checked.alias("_d"))
+    done = out.select(*keep, "md", F.struct(F.col("page.ld_json").alias("ld_json"), F.col("page.app_json").alias("app_json")).alias("html_json"), schema.quality(F.col("job")).alias("quality"), checked.alias("_d"))
     action = F.when(F.col("_d.action") == "wait", "advance").otherwise(F.col("_d.action"))
     return done.select(*keep, "md", "html_json", "quality", F.struct(action.alias("action"), F.col("_d.guard").alias("guard"), F.col("_d.message").alias("message")).alias("decision"))
 
