@@ -126,10 +126,9 @@ def js_number(c: Column) -> Column:
 
 def collapse_blank_lines(c: Column) -> Column:
     """LF line ends, no blanks at the ends of lines, runs of empty lines as one."""
-    lines = F.transform(F.split(F.replace(c, F.lit("\r\n"), F.lit("\n")), "\n", -1), lambda x: F.trim(x))
-    blank = lambda i: F.rtrim(F.replace(F.get(lines, i), F.lit("\t"), F.lit(" "))) == ""
-    last = F.size(lines) - 1
-    return F.array_join(F.filter(lines, lambda x, i: ~((i > 1) & (i < last) & blank(i) & blank(i - 1))), "\n")
+    lines = F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), r"(?m)^ +| +$", "")
+    # behind a line end, an empty line takes all empty lines after it along
+    return F.regexp_replace(lines, r"(?<=\n)([\t ]*\n)[\t \n]*\n", "$1")
 
 
 def header_key(c: Column) -> Column:
