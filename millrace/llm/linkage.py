@@ -18,12 +18,13 @@ from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 from .canonical import Reference, Vocabulary, distance, fold, references, tokens
-from .names import name_clusters
+from .names import centered, centers, links, node_of
 
 # fixed values: words of levels, kinds of role and business areas, over folded text
 LEVELS = {
@@ -127,38 +128,56 @@ class Titles:
 ATTRIBUTES = ("employer", "tech", "kind", "level", "area", "city")
 
 
+_CODES = {part: {k: i for i, k in enumerate(table)} for part, table in _DICT.items()}
+
+
+def _code(text: str) -> int:
+    """A number for a word that no list holds, above those of the lists."""
+    return 1 << 62 | xxhash.xxh64_intdigest(text) >> 2
+
+
 def vacancies(offers: DataFrame, canon: DataFrame) -> DataFrame:
-    """(offer_id, source, employer, tech, kind, level, area, cities) of every offer, once.
+    """(offer_id, source, employer, tech, kind, level, area, cities) of every offer, once, as
+    numbers: these rows are kept and moved.
 
     ``employer`` is the center of the cluster of names, ``cities`` the sorted entries (or
-    folded texts) of the non-empty cities. Rows with the same offer_id count once."""
+    hashes of the folded texts) of the non-empty cities. Rows with the same offer_id count once."""
     refs = references(canon)
     empty = Reference("", [])
     titles, cities = Titles(refs.get("req_technology", empty)), refs.get("cities", empty)
     rank = F.struct("ingested_at", F.struct("source", "employer_name", "role_title", "cities"))
-    once = cut(offers.where("offer_id is not null").groupBy("offer_id").agg(F.max(rank).alias("r")).select("offer_id", "r.col2.*"))
-    names = name_clusters(once).select("employer_name", F.xxhash64("center").alias("employer"))
+    once = offers.where("offer_id is not null").groupBy("offer_id").agg(F.max(rank).alias("r")).select("offer_id", "r.col2.*")
 
     def run(batches):
+        nodes: dict[str, str | None] = {}
         for pdf in batches:
+            if len(nodes) > 300_000:
+                nodes.clear()
+            for text in pdf.employer_name:
+                if isinstance(text, str) and text not in nodes:
+                    nodes[text] = node_of(text)
             parts = [titles.part(t) for t in pdf.role_title]
-            out = pdf[["offer_id", "source", "employer_name"]].copy()
+            out = pdf[["offer_id", "source", "spelling"]].copy()
+            out["node"] = pd.Series([nodes[t] if isinstance(t, str) else None for t in pdf.employer_name], dtype=object, index=out.index)
             out["tech"] = pd.array([p.get("tech") for p in parts], dtype="Int64")
-            for c in ("kind", "level", "area"):
-                out[c] = pd.Series([p.get(c) for p in parts], dtype=object, index=out.index)
+            for c, codes in _CODES.items():
+                out[c] = pd.array([None if (x := p.get(c)) is None else codes[x] if x in codes else _code(x) for p in parts], dtype="Int64")
             found = []
             for own in pdf.cities:
                 keys = set()
                 for v in own if own is not None else []:
                     if isinstance(v, str) and v.strip():
                         best = cities.best(v)
-                        keys.add(str(best) if best > 0 else "=" + fold(v).strip())
+                        keys.add(int(best) if best > 0 else _code(fold(v).strip()))
                 found.append(sorted(keys))
             out["cities"] = pd.Series(found, index=out.index, dtype=object)
             yield out
 
-    parted = once.mapInPandas(run, "offer_id bigint, source string, employer_name string, tech bigint, kind string, level string, area string, cities array<string>")
-    return parted.join(names, "employer_name", "left").drop("employer_name")
+    named = once.withColumn("spelling", F.xxhash64("employer_name"))
+    rows = cut(named.mapInPandas(run, "offer_id bigint, source string, spelling bigint, node string, tech bigint, kind bigint, level bigint, area bigint, cities array<bigint>"))
+    nodes = rows.where("node is not null").select("node", "spelling").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    own = rows.withColumn("id", F.when(F.col("node").isNotNull(), F.xxhash64("node"))).drop("node", "spelling")
+    return centered(own, centers(cut(links(nodes)))).withColumnRenamed("c", "employer").drop("id")
 
 
 #: blocking passes: attributes that must be equal (city: one of them). Each has the employer,
@@ -171,27 +190,35 @@ def compared(rows: DataFrame) -> DataFrame:
     level per attribute, as one digit each in the order of ATTRIBUTES.
 
     A pass joins on a hash of its attributes, so a hot employer is spread over its
-    technologies, areas and cities; a pair found by several passes counts once."""
-    keys = []
-    for no, cols in enumerate(PASSES):
-        part = rows
-        if "city" in cols:
-            part = part.withColumn("city", F.explode("cities"))
-        part = part.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-        keys.append(part.select(F.xxhash64(F.lit(no), *cols).alias("block"), "offer_id", "source"))
-    blocks = reduce(DataFrame.union, keys)
-    a = blocks.select("block", F.col("offer_id").alias("offer_a"), F.col("source").alias("source_a"))
-    b = blocks.select("block", F.col("offer_id").alias("offer_b"), F.col("source").alias("source_b"))
-    pairs = a.join(b, "block").where("offer_a < offer_b and not source_a <=> source_b").select("offer_a", "offer_b").distinct()
-    side = lambda s: rows.select(F.col("offer_id").alias(f"offer_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("employer", "tech", "kind", "level", "area", "cities")])
-    both = pairs.join(side("a"), "offer_a").join(side("b"), "offer_b")
+    technologies, areas and cities. Rows carry what is compared into the join, and a pair
+    that several passes or cities find is made by the first of them, so that pairs, which can
+    grow with the square of an employer's offers, are never moved."""
+    unknown = F.lit(None).cast(rows.schema["cities"].dataType.elementType)
+
+    def keys(no: int, cols: tuple[str, ...]):
+        key = lambda city: F.struct(F.xxhash64(F.lit(no), *[city if c == "city" else F.col(c) for c in cols]).alias("block"), F.lit(no).alias("no"), city.alias("city"))
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols if c != "city"])
+        return F.when(known, F.transform("cities", key) if "city" in cols else F.array(key(unknown)))
+
+    met = F.explode(F.flatten(F.array_compact(F.array(*[keys(no, cols) for no, cols in enumerate(PASSES)])))).alias("k")
+    blocks = rows.select(met, "offer_id", "source", "tech", "kind", "level", "area", "cities").select("k.*", "offer_id", "source", "tech", "kind", "level", "area", "cities")
+    side = lambda s: blocks.select("block", *[F.col(c).alias(f"{c}_{s}") for c in blocks.columns if c != "block"])
+    same = {c: F.coalesce(F.col(f"{c}_a") == F.col(f"{c}_b"), F.lit(False)) for c in ATTRIBUTES[1:-1]}
+    same |= {"employer": F.lit(True), "city": F.arrays_overlap("cities_a", "cities_b")}  # each pass has the employer
+    found = [reduce(lambda a, b: a & b, [same[c] for c in cols]) for cols in PASSES]
+    # both sides are asked, so that they have the same columns and move as one
+    no, city = F.greatest("no_a", "no_b"), F.least("city_a", "city_b")
+    first = city.isNull() | (city == F.array_min(F.array_intersect("cities_a", "cities_b")))
+    for k in range(1, len(PASSES)):
+        first &= (no < k) | ~F.coalesce(found[k - 1], F.lit(False))
+    pairs = side("a").join(side("b"), "block").where("offer_id_a < offer_id_b and not source_a <=> source_b").where(first)
 
     def level(c: str):
         x, y = F.col(f"{c}_a"), F.col(f"{c}_b")
         return F.when(x.isNull() | y.isNull(), "1").when(x == y, "2").otherwise("0")
 
     city = F.when(F.arrays_overlap("cities_a", "cities_b"), "2").otherwise("0")  # offers without a city share none
-    return both.select("offer_a", "offer_b", F.concat(*[level(c) for c in ATTRIBUTES[:-1]], city).alias("pattern"))
+    return pairs.select(F.col("offer_id_a").alias("offer_a"), F.col("offer_id_b").alias("offer_b"), F.concat(F.lit("2"), *[level(c) for c in ATTRIBUTES[1:-1]], city).alias("pattern"))
 
 
 def agreement(rows: DataFrame) -> dict[str, dict[str, tuple[int, int, int]]]:
@@ -204,17 +231,21 @@ def agreement(rows: DataFrame) -> dict[str, dict[str, tuple[int, int, int]]]:
     parts_ = [entry("all", one)]
     for c in ("tech", "kind", "level", "area"):
         parts_ += [entry(c, F.col(c)), entry(f"{c}?", F.when(F.col(c).isNotNull(), one))]
-    own = F.concat(F.array_compact(F.array(*parts_)), F.transform("cities", lambda x: F.struct(F.lit("city").alias("part"), x.alias("value"))))
-    sized = rows.select("employer", "source", F.explode(own).alias("p")).groupBy("employer", "source", "p.part", "p.value").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    own = F.concat(F.array_compact(F.array(*parts_)), F.transform("cities", lambda x: F.struct(F.lit("city").alias("part"), x.cast("string").alias("value"))))
+    # dealt out by employer, all that follows but the last sums is counted where it is
+    sized = rows.repartition("employer").select("employer", "source", F.explode(own).alias("p")).groupBy("employer", "source", "p.part", "p.value").agg(F.count(F.lit(1)).cast("double").alias("n"))
 
-    def pairs(keys: list[str], within: DataFrame) -> dict[str, float]:
-        by_source = within.groupBy(*keys, "source").agg(F.sum("n").alias("n"))
+    def pairs(name: str, keys: list[str]) -> DataFrame:
+        by_source = sized.groupBy(*keys, "source").agg(F.sum("n").alias("n"))
         across = by_source.groupBy(*keys).agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("k"))
-        return {r.part: r.k for r in across.groupBy("part").agg(F.sum("k").alias("k")).collect()}
-
-    out = {}
-    same = pairs(["employer", "part", "value"], sized.where("employer is not null"))
-    for name, got in (("any", pairs(["part", "value"], sized)), ("same", same)):
+        k = F.when(F.col("employer").isNotNull(), F.col("k")) if "employer" in keys else F.col("k")
+        return across.groupBy("part").agg(F.sum(k).alias("k")).select(F.lit(name).alias("name"), "part", "k")
+
+    counted: dict[str, dict[str, float]] = {"any": {}, "same": {}}
+    for r in pairs("any", ["part", "value"]).union(pairs("same", ["employer", "part", "value"])).collect():
+        counted[r.name][r.part] = r.k or 0.0
+    out, same = {}, counted["same"]
+    for name, got in counted.items():
         total = got.get("all", 0.0)
         out[name] = {"employer": (total - same.get("all", 0.0), 0.0, same.get("all", 0.0))} if name == "any" else {"employer": (0.0, 0.0, total)}
         for c in ("tech", "kind", "level", "area"):
@@ -303,9 +334,10 @@ def fit(counts: dict[str, int], totals: dict[str, dict[str, tuple[int, int, int]
 def matches(offers: DataFrame, canon: DataFrame) -> DataFrame:
     """(offer_a, offer_b, pattern, confidence): every compared pair with its posterior.
 
-    Only the counts of the at most 3**6 patterns and of agreeing pairs come to the driver."""
-    rows = cut(vacancies(offers, canon))
-    pairs = cut(compared(rows))
+    Only the counts of the at most 3**6 patterns and of agreeing pairs come to the driver. Pairs
+    are made twice, to be counted and to be given, as keeping them costs more than their rows."""
+    rows = vacancies(offers, canon)
+    pairs = compared(rows)
     counts = {r.pattern: r["count"] for r in pairs.groupBy("pattern").count().collect()}
     if not counts:
         return pairs.withColumn("confidence", F.lit(None).cast("double"))

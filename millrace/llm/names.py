@@ -9,16 +9,19 @@ verified by Monge-Elkan similarity of their tokens and clustered by stars.
 from __future__ import annotations
 
 import itertools
+import math
 import re
+from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, parts, spread
+from ..session import cut, parts
 from .canonical import Vocabulary, distance, fold
 
 # fixed values: legal forms, over folded text
@@ -115,14 +118,17 @@ def _hashes(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _HASHES[0][0][:size], _HASHES[0][1][:size]
 
 
-def signature(items: set[str], size: int) -> np.ndarray:
-    """MinHash signature of a set. A longer signature begins with the shorter."""
+@lru_cache(10_000)
+def _hashed(item: str, size: int) -> np.ndarray:
     a, b = _hashes(size)
-    x = np.array([xxhash.xxh64_intdigest(i) for i in sorted(items)], dtype=np.uint64)
     with np.errstate(over="ignore"):
-        h = x[:, None] * a[None, :] + b[None, :]
-        h ^= h >> np.uint64(29)
-    return h.min(axis=0)
+        h = np.uint64(xxhash.xxh64_intdigest(item)) * a + b
+    return h ^ (h >> np.uint64(29))
+
+
+def signature(items: set[str], size: int) -> np.ndarray:
+    """MinHash signature of a set. A longer signature begins with the shorter."""
+    return np.minimum.reduce([_hashed(i, size) for i in items])
 
 
 def _edits(a: str, b: str, most: int) -> int:
@@ -216,16 +222,18 @@ def same_name(a: Name, b: Name, least: float = 0.79) -> bool:
     return firsts_agree(a.first, b.first) and monge_elkan(a.core, b.core) >= least
 
 
+def node_of(text: str | None) -> str | None:
+    """The parts of a name as one key 'first|core core'."""
+    p = part_name(text)
+    return None if p is None else f"{p.first}|{' '.join(p.core)}"
+
+
 def parted(df: DataFrame, name: str = "employer_name") -> DataFrame:
     """(name, node): every distinct spelling with its parts as one key 'first|core core'."""
 
     def run(batches):
         for pdf in batches:
-            nodes = []
-            for text in pdf[name]:
-                p = part_name(text)
-                nodes.append(None if p is None else f"{p.first}|{' '.join(p.core)}")
-            yield pd.DataFrame({name: pdf[name], "node": pd.Series(nodes, dtype=object)})
+            yield pd.DataFrame({name: pdf[name], "node": pd.Series([node_of(text) for text in pdf[name]], dtype=object)})
 
     return df.where(F.col(name).isNotNull()).select(name).distinct().mapInPandas(run, f"{name} string, node string").where("node is not null")
 
@@ -243,6 +251,7 @@ def lowest_jaccard(letters: int, q: int = 2) -> float:
     return (own - q - 1) / (own + q + 1)
 
 
+@lru_cache(1000)
 def bands_of(letters: int, rows: int, recall: float, least: int) -> int:
     """Bands of a name: from the collision curve at one edit, but at least ``least``, as longer
     names may have several. The shorter of two names has the more bands, so that a pair shares
@@ -250,53 +259,150 @@ def bands_of(letters: int, rows: int, recall: float, least: int) -> int:
     return max(least, bands_for(lowest_jaccard(letters), rows, recall))
 
 
-def banded(nodes: DataFrame, rows: int, recall: float, least: int) -> DataFrame:
-    """(id, band): the band keys of every core. The initial of the given name (none for firms)
-    is part of the key, as names that differ in it are never one."""
+_FOLD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
-    def run(batches):
-        size = rows * 8
-        for pdf in batches:
-            ids, keys, counts = [], [], []
-            for i, node in zip(pdf.id, pdf.node):
-                name = _as_name(node)
-                n = bands_of(sum(len(t.rstrip(".")) for t in name.core), rows, recall, least)
-                sig = signature(grams(name.core), rows * n).tobytes()
-                start = name.first[:1].encode()
-                ids.append(i)
-                counts.append(n)
-                keys.append(np.fromiter((xxhash.xxh64_intdigest(start + sig[x * size : (x + 1) * size], seed=x) - (1 << 63) for x in range(n)), dtype=np.int64, count=n))
-            yield pd.DataFrame({"id": np.repeat(np.array(ids, dtype=np.int64), counts), "band": np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)})
 
-    return spread(nodes).mapInPandas(run, "id bigint, band bigint")
+def _folded(key: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """A key with one more number in it."""
+    with np.errstate(over="ignore"):
+        key = (key ^ more) * _FOLD[0]
+        return (key ^ (key >> np.uint64(31))) * _FOLD[1]
 
 
-def candidate_pairs(nodes: DataFrame, rows: int = 4, recall: float = 0.97, least: int = 80) -> DataFrame:
-    """(a, b), a < b: nodes that share a band and whose given names can agree. Bands and pairs
-    move as numbers, the names join at the end; pairs are dealt out by their number, not by
-    their bytes, as verification is what costs. Nodes are distinct, so that a surname has no
-    more nodes than there are given names and initials; no bucket is cut."""
-    named = nodes.select(F.xxhash64("node").alias("id"), "node")
-    keys = banded(named, rows, recall, least)
-    pairs = keys.withColumnRenamed("id", "ia").join(_merged(keys.withColumnRenamed("id", "ib")), "band").where("ia < ib").select("ia", "ib").distinct()
-    full = pairs.join(_merged(named.select(F.col("id").alias("ia"), F.col("node").alias("na"))), "ia").join(_merged(named.select(F.col("id").alias("ib"), F.col("node").alias("nb"))), "ib")
-    fa, fb = F.substring_index("na", "|", 1), F.substring_index("nb", "|", 1)
-    agree = (fa == fb) | ((fa != "") & (fb != "") & ((F.length(fa) == 1) | (F.length(fb) == 1)) & (F.substring(fa, 1, 1) == F.substring(fb, 1, 1)))
-    return full.where(agree & _alike("na", "nb")).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).repartition(parts(nodes.sparkSession), "a", "b")
-
-
-def _alike(a: str, b: str, least: float = 0.79, joined: int = 3) -> Column:
-    """Whether two nodes can verify by their letters: each letter that only one of them has costs
-    an edit. Tokens may differ in a share 1 - least of their letters, and names run together by
-    ``joined`` edits. Cores with a cut-off token, which lack letters, always can. This loses
-    no pair that verification would confirm, and needs no Python."""
-    core = lambda n: F.substring_index(n, "|", -1)
-    letters = lambda n: F.split(F.translate(core(n), ". ", ""), "")
-    tokens_ = lambda n: F.split(core(n), " ")
-    most = F.greatest(F.size(tokens_(a)), F.size(tokens_(b))) * F.greatest(*[F.array_max(F.transform(tokens_(n), F.length)) for n in (a, b)]) * (1 - least) + 1e-9
-    most = F.greatest(most, F.lit(float(joined)))
-    lone = lambda x, y: F.size(F.array_except(letters(x), letters(y)))
-    return F.contains(F.col(a), F.lit(".")) | F.contains(F.col(b), F.lit(".")) | ((lone(a, b) <= most) & (lone(b, a) <= most))
+def banded(own: list[Name], rows: int, recall: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of all cores and whose they are. The initial of the given name (none for firms)
+    is part of the key, as names that differ in it are never one."""
+    by: dict[int, list[int]] = {}
+    for i, name in enumerate(own):
+        by.setdefault(bands_of(sum(len(t.rstrip(".")) for t in name.core), rows, recall, least), []).append(i)
+    keys, whose = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
+    for n, members in by.items():
+        for k in range(0, len(members), 1000):
+            some = members[k : k + 1000]
+            sig = np.stack([signature(grams(own[i].core), rows * n) for i in some]).reshape(len(some), n, rows)
+            start = np.array([xxhash.xxh64_intdigest(own[i].first[:1]) for i in some], dtype=np.uint64)
+            key = _folded(start[:, None], np.arange(n, dtype=np.uint64)[None, :])
+            for r in range(rows):
+                key = _folded(key, sig[:, :, r])
+            keys.append(key.ravel())
+            whose.append(np.repeat(np.array(some, dtype=np.int32), n))
+    return np.concatenate(keys), np.concatenate(whose)
+
+
+class Side:
+    """Names of a block with what tells by numbers which of them can be one: letters, in buckets,
+    of every token, and given names. Buckets only make names look more alike."""
+
+    def __init__(self, nodes: list[str], rows: int, recall: float, least: int):
+        self.own = [_as_name(n) for n in nodes]
+        keys, whose = banded(self.own, rows, recall, least)
+        order = np.argsort(keys)
+        self.keys, self.whose = keys[order], whose[order]
+        self.first = np.array([xxhash.xxh64_intdigest(x.first) for x in self.own], dtype=np.uint64)
+        self.initial = np.array([len(x.first) == 1 for x in self.own], dtype=bool)
+        #: more tokens than are compared here: always can
+        self.open = np.array([len(x.core) > MOST for x in self.own], dtype=bool)
+        self.count = np.array([len(x.core) for x in self.own], dtype=np.int64)
+        self.short = np.zeros((len(self.own), MOST), dtype=bool)  # cut-off tokens
+        self.length = np.zeros((len(self.own), MOST), dtype=np.int64)
+        at = []
+        for i, x in enumerate(self.own):
+            for k, t in enumerate(x.core[:MOST]):
+                self.short[i, k], t = t.endswith("."), t.rstrip(".")
+                self.length[i, k] = len(t)
+                at += [(i * MOST + k) * BUCKETS + _bucket(c) for c in t]
+        size = len(self.own) * MOST * BUCKETS
+        self.letters = np.bincount(np.array(at, dtype=np.int64), minlength=size).astype(np.int16).reshape(-1, MOST, BUCKETS)
+        self.whole = self.letters.sum(axis=1, dtype=np.int16)
+        self.seen = ((self.whole > 0) << np.arange(BUCKETS, dtype=np.int64)).sum(axis=1).astype(np.uint64)
+
+
+#: tokens of a name and buckets of letters that are compared by numbers
+MOST, BUCKETS = 3, 32
+
+
+def _bucket(c: str) -> int:
+    k = ord(c) - 97
+    return k if 0 <= k < 26 else 26 + ord(c) % 6
+
+
+def met(a: Side, b: Side, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of the names of a and b that share a band, once each, in pieces: as many names of
+    a at a time as meet ``most`` by all bands together, at least one. No bucket is cut."""
+    lo, hi = np.searchsorted(b.keys, a.keys, "left"), np.searchsorted(b.keys, a.keys, "right")
+    hit = np.flatnonzero(hi > lo)
+    hit = hit[np.argsort(a.whose[hit], kind="stable")]
+    whose, lo, n = a.whose[hit], lo[hit], (hi - lo)[hit]
+    upto, k = np.cumsum(n), 0
+    while k < len(hit):
+        done = upto[k - 1] if k else 0
+        end = max(int(np.searchsorted(upto, done + most, "right")), k + 1)
+        end = int(np.searchsorted(whose, whose[end - 1], "right"))  # all bands of the last name
+        each = n[k:end]
+        at = np.repeat(lo[k:end] - (upto[k:end] - each - done), each) + np.arange(int(upto[end - 1] - done))
+        code = np.unique(np.repeat(whose[k:end].astype(np.int64), each) * len(b.own) + b.whose[at])
+        yield code // len(b.own), code % len(b.own)
+        k = end
+
+
+def _lone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many letters only the one and only the other text has. The more of them are the fewest
+    edits: an edit changes at most one letter on either side, a swap none."""
+    d = x - y
+    left = np.maximum(d, 0).sum(axis=1)
+    return left, left - d.sum(axis=1)
+
+
+def can_be_one(a: Side, ia: np.ndarray, b: Side, ib: np.ndarray, least: float = 0.79, token: float = 0.6, joined: int = 3) -> np.ndarray:
+    """Which pairs ``same_name`` can confirm, by given names and by the letters: no similarity is
+    higher than the letters of the tokens allow. Loses no pair that is confirmed."""
+    able = (a.first[ia] == b.first[ib]) | a.initial[ia] | b.initial[ib]  # a band has one initial
+    free = a.open[ia] | b.open[ib]
+    cut_ = a.short[ia].any(axis=1) | b.short[ib].any(axis=1)  # lack letters
+    # each letter that only one of them has costs an edit
+    na, nb = a.count[ia], b.count[ib]
+    edits = np.maximum(np.maximum(na, nb) * np.maximum(a.length[ia].max(axis=1), b.length[ib].max(axis=1)) * (1 - least) + 1e-9, joined)
+    x, y = a.seen[ia], b.seen[ib]
+    able &= free | cut_ | (np.bitwise_count(x & ~y) <= edits) & (np.bitwise_count(y & ~x) <= edits)
+    ask = np.flatnonzero(able & ~free)
+    for p in range(1, MOST + 1):
+        for q in range(1, MOST + 1):
+            own = ask[(na[ask] == p) & (nb[ask] == q)]
+            for k in range(0, len(own), 50_000):
+                some = own[k : k + 50_000]
+                sa, sb = ia[some], ib[some]
+                sims = np.zeros((len(some), p, q))
+                for i in range(p):
+                    for j in range(q):
+                        size, (one, two) = np.maximum(a.length[sa, i], b.length[sb, j]), _lone(a.letters[sa, i], b.letters[sb, j])
+                        n = np.maximum(one, two)
+                        sim = np.where(n <= (0.4 * size).astype(np.int64), 1 - n / np.maximum(size, 1), 0)
+                        # of a cut-off token no letter may be missing in the other, or one
+                        gone = np.minimum(np.where(a.short[sa, i], one, 9), np.where(b.short[sb, j], two, 9))
+                        sims[:, i, j] = np.maximum(sim, np.where(gone == 0, 1.0, np.where(gone == 1, 0.85, 0)))
+                rows, cols = sims.max(axis=2), sims.max(axis=1)
+                high = (np.minimum(rows.mean(axis=1), cols.mean(axis=1)) >= least - 1e-9) & (np.minimum(rows.min(axis=1), cols.min(axis=1)) >= token - 1e-9)
+                if p != q and min(p, q) == 1:
+                    one, two = _lone(a.whole[sa], b.whole[sb])
+                    high |= (np.maximum(one, two) <= joined) | cut_[some] & (np.minimum(one, two) <= 1)
+                able[some] = high
+    return able
+
+
+def blocks(nodes: DataFrame, size: int = 24_000) -> DataFrame:
+    """(block, side, node, n): the nodes dealt into groups of about ``size``, every two groups (and
+    each with itself) as one block. So candidates, which grow with the square of the nodes by
+    chance, are made, told apart and verified within a task; none is ever written. What moves is
+    each node once per group. ``side`` is 0 and 1 in a block of two groups, 2 in one of a single."""
+    spark = nodes.sparkSession
+    total, cores = nodes.count(), spark.sparkContext.defaultParallelism
+    groups = max(1, math.ceil(total / size))
+    while groups * (groups + 1) // 2 < cores and total > 500 * groups:
+        groups += 1
+    g = F.pmod(F.xxhash64("node"), F.lit(groups)).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda k: F.struct((F.least(g, k) * groups + F.greatest(g, k)).alias("block"), F.when(g == k, 2).otherwise((g > k).cast("int")).alias("side")))
+    dealt = nodes.select(F.explode(meets).alias("m"), "node", "n").select("m.block", "m.side", "node", "n")
+    return dealt.repartition(max(parts(spark), min(2000, groups * (groups + 1) // 2)), "block")
 
 
 def _merged(df: DataFrame) -> DataFrame:
@@ -305,63 +411,122 @@ def _merged(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def verified(pairs: DataFrame, least: float = 0.79) -> DataFrame:
-    """The candidate pairs that Monge-Elkan similarity and given names confirm."""
+def node_id(node: str) -> int:
+    """What xxhash64 gives for a node in Spark."""
+    x = xxhash.xxh64_intdigest(node, seed=42)
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _within(nodes: DataFrame, confirmed: bool, rows: int, recall: float, bands: int, least: float) -> DataFrame:
+    """(a, na, wa, b, nb, wb), a < b: ids, nodes and weights of the pairs of all blocks that can
+    be one or, if ``confirmed``, are; then without nodes, which are null."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf[pdf.side != 1].sort_values("node")
+        two = one if (pdf.side == 2).all() else pdf[pdf.side == 1]
+        na, nb = one.node.tolist(), two.node.tolist()
+        out: dict[str, list] = {c: [] for c in ("a", "na", "wa", "b", "nb", "wb")}
+        if na and nb:
+            a = Side(na, rows, recall, bands)
+            b = a if two is one else Side(nb, rows, recall, bands)
+            wa, wb = one.n.tolist(), two.n.tolist()
+            for ia, ib in met(a, b):
+                if a is b:
+                    ia, ib = ia[ia < ib], ib[ia < ib]
+                able = can_be_one(a, ia, b, ib, least)
+                for i, j in zip(ia[able].tolist(), ib[able].tolist()):
+                    if not confirmed or same_name(a.own[i], b.own[j], least):
+                        for end, (node, w) in zip("ab", sorted([(na[i], wa[i]), (nb[j], wb[j])])):
+                            out[end].append(node_id(node))
+                            out["n" + end].append(None if confirmed else node)
+                            out["w" + end].append(w)
+        return pd.DataFrame({c: pd.Series(v, dtype=object if c[0] == "n" else "int64") for c, v in out.items()})
+
+    return blocks(nodes).groupBy("block").applyInPandas(run, "a bigint, na string, wa bigint, b bigint, nb string, wb bigint")
 
-    def run(batches):
-        for pdf in batches:
-            keep = [same_name(_as_name(a), _as_name(b), least) for a, b in zip(pdf.a, pdf.b)]
-            yield pdf[keep]
 
-    return pairs.mapInPandas(run, "a string, b string")
+def candidate_pairs(nodes: DataFrame, rows: int = 4, recall: float = 0.97, least: int = 80) -> DataFrame:
+    """(a, b), a < b: nodes that share a band and whose given names and letters can agree. Nodes
+    are distinct, so that a surname has no more nodes than there are given names and initials."""
+    return _within(nodes, False, rows, recall, least, 0.79).select(F.col("na").alias("a"), F.col("nb").alias("b"))
 
 
-def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n") -> DataFrame:
-    """(node, center): star clustering. In each round the free nodes that weigh more than
-    all their free neighbours become centers and take their free neighbours, each the
-    heaviest center it sees; weight is the number of spellings and links, ties by hash and
-    name. Rounds go on until no link is left: each takes at least the heaviest free node.
-    Nodes that no center took, those without links among them, are centers of their own.
+def links(nodes: DataFrame, least: float = 0.79, rows: int = 4, recall: float = 0.97, bands: int = 80) -> DataFrame:
+    """(a, wa, b, wb): the pairs of nodes that Monge-Elkan similarity and given names confirm, once
+    each, as ids (xxhash64 of the node) with their weights."""
+    return _within(nodes, True, rows, recall, bands, least).select("a", "wa", "b", "wb")
+
+
+def centers(edges: DataFrame) -> DataFrame | None:
+    """(id, center) of the nodes with links, by star clustering; None without any link. In each
+    round the free nodes that weigh more than all their free neighbours become centers and take
+    their free neighbours, each the heaviest center it sees; weight is the number of spellings
+    and links, ties by id. Rounds go on until no link is left: each takes at least the heaviest
+    free node. Nodes that no center took are missing: they are centers of their own.
 
     Links are kept in both directions, so that a round is two windows, one per end, and an
     anti join; one checkpoint per round."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("links")).withColumnRenamed("a", "node")
-    rank = F.struct(F.col(weight).cast("bigint").alias("w"), F.coalesce("links", F.lit(0)).alias("l"), F.xxhash64("node").alias("h"), F.col("node").alias("v"))
-    full = nodes.join(_merged(degree), "node", "left").select("node", rank.alias("r"))
-    left = both.join(_merged(full.select(F.col("node").alias("a"), F.col("r").alias("ra"))), "a").join(_merged(full.select(F.col("node").alias("b"), F.col("r").alias("rb"))), "b")
+    both = edges.select("a", "wa", "b", "wb").union(edges.select("b", "wb", "a", "wa"))
     from_a, from_b = Window.partitionBy("a"), Window.partitionBy("b")
-    done = None
+    for x, ends in (("b", from_b), ("a", from_a)):
+        both = both.withColumn(f"w{x}", F.struct(F.col(f"w{x}").alias("w"), F.count(F.lit(1)).over(ends).alias("l")))
+    flat = lambda df, *more: df.select("a", F.col("wa.w").alias("wa"), F.col("wa.l").alias("la"), "b", F.col("wb.w").alias("wb"), F.col("wb.l").alias("lb"), *more)
+    left, done = flat(both), None
+    rank = lambda x: F.struct(f"w{x}", f"l{x}", x)
     while True:
-        marked = left.withColumn("ca", F.col("ra") > F.max("rb").over(from_a))
-        taken = F.max(F.when(F.col("ca"), F.col("ra"))).over(from_b)["v"]
-        center = F.when(F.col("rb") > F.max("ra").over(from_b), F.col("b")).otherwise(taken)
-        now = cut(marked.withColumn("center", center).select("a", "ra", "b", "rb", "center"))
+        marked = left.withColumn("ca", rank("a") > F.max(rank("b")).over(from_a))
+        taken = F.max(F.when(F.col("ca"), rank("a"))).over(from_b)["a"]
+        center = F.when(rank("b") > F.max(rank("a")).over(from_b), F.col("b")).otherwise(taken)
+        now = cut(marked.select("a", "wa", "la", "b", "wb", "lb", center.alias("center")))
         if now.isEmpty():
-            break
-        gone = now.where("center is not null").select(F.col("b").alias("node"), "center").distinct()
+            return done
+        gone = now.where("center is not null").select(F.col("b").alias("id"), "center").distinct()
         done = gone if done is None else done.union(gone)
-        left = now.where("center is null").drop("center").join(_merged(gone.select(F.col("node").alias("a"))), "a", "left_anti")
+        left = now.where("center is null").drop("center").join(_merged(gone.select(F.col("id").alias("a"))), "a", "left_anti")
+
+
+def stars(nodes: DataFrame, edges: DataFrame, weight: str = "n") -> DataFrame:
+    """(node, center): the ``centers`` of nodes and their links (a, b), by name."""
+    own = nodes.select(F.xxhash64("node").alias("id"), "node", F.col(weight).cast("bigint").alias("w"))
+    at = lambda x: _merged(own.select(F.col("node").alias(x), F.col("id").alias(f"i{x}"), F.col("w").alias(f"w{x}")))
+    full = edges.join(at("a"), "a").join(at("b"), "b").select(F.col("ia").alias("a"), "wa", F.col("ib").alias("b"), "wb")
+    return _named(own.drop("w"), centers(full)).drop("id", "c")
+
+
+def _named(own: DataFrame, done: DataFrame | None) -> DataFrame:
+    """Rows with ``node`` and its ``id``, with the center's id ``c`` and node ``center``."""
     if done is None:
-        return full.select("node", F.col("node").alias("center"))
-    return full.select("node").join(_merged(done), "node", "left").select("node", F.coalesce("center", "node").alias("center"))
+        return own.withColumn("c", F.col("id")).withColumn("center", F.col("node"))
+    nodes = own.select(F.col("id").alias("c"), F.col("node").alias("center")).distinct()
+    return centered(own, done).join(_merged(nodes), "c")
 
 
-def name_clusters(df: DataFrame, name: str = "employer_name") -> DataFrame:
-    """(name, node, center): the cluster of every distinct spelling. Null, empty and wordless
-    names have none. Equal nodes collapse before anything is compared, so a spelling that a
-    third of all rows share is one node."""
+def centered(own: DataFrame, done: DataFrame | None) -> DataFrame:
+    """Rows with the ``id`` of a node (null where there is none), with that of its center, ``c``."""
+    if done is None:
+        return own.withColumn("c", F.col("id"))
+    return own.join(_merged(done), "id", "left").withColumn("c", F.coalesce("center", "id")).drop("center")
+
+
+def _spelled(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """Every distinct spelling (name, node, id), and the centers. Null, empty and wordless names have
+    none. Equal nodes collapse before anything is compared, so a spelling that a third of all
+    rows share is one node."""
     spelled = cut(parted(df, name))
     nodes = spelled.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    edges = verified(candidate_pairs(nodes))
-    return spelled.join(_merged(stars(nodes, cut(edges))), "node")
+    return spelled.withColumn("id", F.xxhash64("node")), centers(cut(links(nodes)))
+
+
+def name_clusters(df: DataFrame, name: str = "employer_name") -> DataFrame:
+    """(name, node, center): the cluster of every distinct spelling."""
+    return _named(*_spelled(df, name)).select(name, "node", "center")
 
 
 def linked_profiles(profiles: DataFrame, crowd: int = 500) -> DataFrame:
     """(employer_a, employer_b): pairs of profiles of one cluster. A cluster of more than
     ``crowd`` profiles is split by salt, so that its pairs are made in many tasks."""
     own = profiles.where("employer_id is not null").select("employer_id", "employer_name").distinct()
-    member = cut(own.join(_merged(name_clusters(profiles)), "employer_name").select("employer_id", F.xxhash64("center").alias("c")).distinct())
+    member = cut(own.join(_merged(centered(*_spelled(profiles, "employer_name")).select("employer_name", "c")), "employer_name").select("employer_id", "c").distinct())
     size = member.groupBy("c").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     salted = member.join(_merged(size), "c").withColumn("parts", F.ceil(F.col("size") / crowd).cast("int"))
     a = salted.select("c", F.pmod(F.xxhash64("employer_id"), F.col("parts").cast("bigint")).alias("salt"), F.col("employer_id").alias("employer_a"))

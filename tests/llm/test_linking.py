@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,36 @@ def test_clusters_recover_planted_variants(spark):
     assert names.linked_profiles(df.limit(0)).count() == 0
 
 
+def test_letters_rule_out_no_name_that_is_the_same():
+    rng = random.Random(5)
+    nodes = {names.node_of(n) for g in people(rng, 12) for n in g} | {"|abel bora cedi dofu", "|boraabelcedidofu", "k|korwin", "karol|korwin", "karol|korvin", "|rokz. wugbralt", "|rokzik wugbralt", "|rokzikwugb.", "|ab.", "|abel"}
+    side = names.Side(sorted(nodes), 4, 0.97, 80)
+    i, j = (np.array(x) for x in zip(*[(i, j) for i in range(len(nodes)) for j in range(len(nodes)) if side.own[i].first[:1] == side.own[j].first[:1]]))
+    able = names.can_be_one(side, i, side, j)
+    same = np.array([names.same_name(side.own[x], side.own[y]) for x, y in zip(i, j)])
+    assert not (same & ~able).any() and able.sum() < 0.5 * len(able)
+    met = {p for most in (1, 1 << 20) for x, y in names.met(side, side, most) for p in zip(x.tolist(), y.tolist(), [most] * len(x))}
+    assert {p[:2] for p in met if p[2] == 1} == {p[:2] for p in met if p[2] > 1}
+
+
+def test_nodes_move_and_no_candidate(spark):
+    nodes = spark.createDataFrame([(names.node_of(n), 1) for g in people(random.Random(6), 300) for n in g], "node string, n bigint").distinct()
+    dealt = names.blocks(nodes, size=400)
+    groups = -(-nodes.count() // 400)
+    assert dealt.count() == nodes.count() * groups and {r.block for r in dealt.where("side < 2").collect()} == {i * groups + j for i in range(groups) for j in range(i + 1, groups)}
+    assert {r.id for r in nodes.select(F.xxhash64("node").alias("id")).collect()} == {names.node_id(r.node) for r in nodes.collect()}
+    rows = spark.createDataFrame([], "offer_id bigint, source string, employer bigint, tech bigint, kind bigint, level bigint, area bigint, cities array<bigint>")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan(names.candidate_pairs(nodes)) and "Aggregate" not in plan(linkage.compared(rows))
+
+
+def test_a_pair_of_several_passes_and_cities_is_made_once(spark):
+    rows = [(1, "a", 5, 1, 1, 1, 1, [1, 2]), (2, "b", 5, 1, 1, 1, 1, [1, 2]), (3, "c", 5, 1, 2, 1, 1, [3]), (4, "d", 5, None, 1, 1, 1, [2]), (5, "d", 5, 1, 1, 2, 1, [2]), (6, "e", 6, 1, 1, 1, 1, [1])]
+    df = spark.createDataFrame(rows, "offer_id bigint, source string, employer bigint, tech bigint, kind bigint, level bigint, area bigint, cities array<bigint>")
+    got = sorted((r.offer_a, r.offer_b, r.pattern) for r in linkage.compared(df).collect())
+    assert got == [(1, 2, "222222"), (1, 3, "220220"), (1, 4, "212222"), (1, 5, "222022"), (2, 3, "220220"), (2, 4, "212222"), (2, 5, "222022")]
+
+
 def canon(spark):
     return spark.createDataFrame(
         [(1, "req_technology", "JavaScript", ["ECMAScript"]), (2, "req_technology", "Vue.js", ["Vue"]), (3, "req_technology", "Ruby on Rails", ["RoR"]), (4, "req_technology", "Ruby", None), (5, "req_technology", "C#", ["C Sharp"]), (6, "req_technology", "Go", ["Golang"]), (7, "req_technology", ".NET", []),
